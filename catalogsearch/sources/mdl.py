@@ -204,7 +204,7 @@ def mdl_json(mdl: DataFrame, options: Options, schema_url: str | None = None) ->
         ("schema", json_string(F.lit(options.schema))),
         ("dataSource", F.lit('"POSTGRES"')),
         ("models", _list_json(F.col("models"), model_json)),
-        ("relationships", _list_json(F.col("relationships"), F.to_json)),
+        ("relationships", F.to_json("relationships")),
         (
             "views",
             _list_json(

@@ -1,0 +1,218 @@
+"""MDL documents to schema chunks and descriptions."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogsearch.operators import documents
+from catalogsearch.operators.numbering import number_rows
+from catalogsearch.options import Options
+from catalogsearch.sources.mdl import mdl_json, validate_mdl
+
+SHOP = {
+    "models": [
+        {
+            "name": "orders",
+            "primaryKey": "id",
+            "properties": {"displayName": "All-Orders", "description": "it's"},
+            "columns": [
+                {"name": "id", "type": "int64", "notNull": True},
+                {"name": "secret", "type": "text", "isHidden": True},
+                {"name": "customer", "type": "customer", "relationship": "orders_customer"},
+                {"name": "total", "type": "float64", "isCalculated": True, "expression": "sum(x)"},
+                {
+                    "name": "state",
+                    "type": "text",
+                    "isCalculated": False,
+                    "expression": "ignored",
+                    "properties": {"description": "State", "uniqueValues": ["open", "it's \"é\""]},
+                },
+            ],
+        },
+        {"name": "customer", "primaryKey": "cid", "columns": [{"name": "cid", "type": "oid"}]},
+        {"columns": []},
+    ],
+    "relationships": [
+        {
+            "name": "orders_customer",
+            "models": ["orders", "customer"],
+            "joinType": "MANY_TO_ONE",
+            "condition": '"orders".customer_id = "customer".cid',
+        },
+        {"name": "three", "models": ["orders", "customer", "x"], "joinType": "MANY_TO_ONE", "condition": "a.b = c.d"},
+        {"name": "odd", "models": ["orders", "customer"], "joinType": "MANY_TO_MANY", "condition": "a.b = c.d"},
+        {"name": "self", "models": ["orders", "orders"], "joinType": "ONE_TO_ONE", "condition": "orders.up = orders.id"},
+        {"name": "gone", "models": ["orders", "ghost"], "joinType": "MANY_TO_ONE", "condition": "orders.g = ghost.id"},
+    ],
+    "views": [{"name": "v", "statement": "SELECT 1", "properties": {"description": "View for v"}}, {"name": "w", "statement": "S"}],
+    "metrics": [
+        {
+            "name": "m",
+            "baseObject": "orders",
+            "dimension": [{"name": "state", "type": "text"}],
+            "measure": [{"name": "n", "type": "int64", "expression": "count(*)"}],
+        }
+    ],
+}
+
+
+def mdl_rows(spark, *texts):
+    frame = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "project_id string, mdl string")
+    return validate_mdl(frame)
+
+
+def contents(frame):
+    return [(row["name"], json.loads(row["content"])) for row in frame.orderBy("project_id", "ord").collect()]
+
+
+def fk(constraint, condition, join_type, tables):
+    return {
+        "type": "FOREIGN_KEY",
+        "comment": f'-- {{"condition": {condition}, "joinType": {join_type}}}\n  ',
+        "constraint": constraint,
+        "tables": tables,
+    }
+
+
+def col(name, data_type, comment="", key=False):
+    return {"type": "COLUMN", "comment": comment, "name": name, "data_type": data_type, "is_primary_key": key}
+
+
+ORDER_COLUMNS = [
+    col("id", "int64", key=True),
+    col("total", "float64", "-- This column is a Calculated Field\n  -- column expression: sum(x)\n  "),
+    col("state", "text", '-- {"description":"State","uniqueValues":["open","it\'s \\"é\\""]}\n  '),
+]
+TO_CUSTOMER = ('"orders".customer_id = "customer".cid', "MANY_TO_ONE", ["orders", "customer"])
+ORDER_KEYS = [
+    fk("FOREIGN KEY (customer_id) REFERENCES customer(cid)", *TO_CUSTOMER),
+    fk("FOREIGN KEY (up) REFERENCES orders(id)", "orders.up = orders.id", "ONE_TO_ONE", ["orders", "orders"]),
+    fk("FOREIGN KEY (g) REFERENCES ghost()", "orders.g = ghost.id", "MANY_TO_ONE", ["orders", "ghost"]),
+]
+
+
+def test_schema_documents(spark):
+    rows, rejects = mdl_rows(spark, json.dumps(SHOP))
+    assert rejects.count() == 0
+    docs = documents.schema_documents(rows, Options(column_batch_size=4))
+    assert contents(docs) == [
+        ("orders", {"type": "TABLE_COLUMNS", "columns": [*ORDER_COLUMNS, ORDER_KEYS[0]]}),
+        ("orders", {"type": "TABLE_COLUMNS", "columns": ORDER_KEYS[1:]}),
+        (
+            "orders",
+            {
+                "type": "TABLE",
+                "comment": "\n/* {'alias': 'All_Orders', 'description': \"it's\"} */\n",
+                "name": "orders",
+            },
+        ),
+        ("customer", {"type": "TABLE_COLUMNS", "columns": [col("cid", "oid", key=True)]}),
+        ("customer", {"type": "TABLE", "comment": "\n/* {'alias': '', 'description': ''} */\n", "name": "customer"}),
+        ("", {"type": "TABLE", "comment": "\n/* {'alias': '', 'description': ''} */\n", "name": ""}),
+        (
+            "v",
+            {"type": "VIEW", "comment": "/* {'description': 'View for v'} */\n", "name": "v", "statement": "SELECT 1"},
+        ),
+        ("w", {"type": "VIEW", "comment": "", "name": "w", "statement": "S"}),
+        (
+            "m",
+            {
+                "type": "METRIC",
+                "comment": "\n/* This table is a metric */\n/* Metric Base Object: orders */\n",
+                "name": "m",
+                "columns": [
+                    {"type": "COLUMN", "comment": "-- This column is a dimension\n  ", "name": "state", "data_type": "text"},
+                    {
+                        "type": "COLUMN",
+                        "comment": "-- This column is a measure\n  -- expression: count(*)\n  ",
+                        "name": "n",
+                        "data_type": "int64",
+                    },
+                ],
+            },
+        ),
+    ]
+    assert docs.select("id").distinct().count() == docs.count()
+    assert {r["type"] for r in docs.collect()} == {"TABLE_SCHEMA"}
+
+
+def test_foreign_keys_on_both_ends(spark):
+    rows, _ = mdl_rows(spark, json.dumps(SHOP))
+    docs = documents.schema_documents(rows, Options(fk_mode="reference"))
+    by_name = {}
+    for name, content in contents(docs):
+        by_name.setdefault(name, []).extend(content.get("columns", []))
+    assert by_name["orders"] == [*ORDER_COLUMNS, *ORDER_KEYS]
+    assert by_name["customer"][1:] == [fk("FOREIGN KEY (cid) REFERENCES orders(id)", *TO_CUSTOMER)]
+
+
+def test_description_documents(spark):
+    rows, _ = mdl_rows(spark, json.dumps(SHOP))
+    docs = documents.description_documents(rows)
+    assert [content for _, content in contents(docs)] == [
+        {"name": "orders", "description": "it's", "columns": "id, secret, customer, total, state"},
+        {"name": "customer", "description": "", "columns": "cid"},
+        {"name": "m", "description": "", "columns": ""},
+        {"name": "v", "description": "View for v", "columns": ""},
+        {"name": "w", "description": "", "columns": ""},
+    ]
+
+
+def test_validate(spark):
+    rows, rejects = mdl_rows(spark, "{bad", "[]", "{}", '{"models":null,"views":[{"name":"v","statement":"s"}]}', "7")
+    got = {r["project_id"]: r for r in rows.collect()}
+    assert sorted(got) == ["p2", "p3"]
+    assert all(got["p2"][c] == [] for c in ("models", "relationships", "views", "metrics"))
+    assert got["p3"]["models"] == [] and len(got["p3"]["views"]) == 1
+    assert sorted(r["project_id"] for r in rejects.collect()) == ["p0", "p1", "p4"]
+    strict, _ = validate_mdl(spark.createDataFrame([("p", "{bad")], "project_id string, mdl string"), strict=True)
+    with pytest.raises(Exception, match="invalid MDL JSON"):
+        strict.collect()
+
+
+def test_mdl_json_round_trip(spark):
+    rows, _ = mdl_rows(spark, json.dumps(SHOP))
+    again, rejects = validate_mdl(mdl_json(rows, Options()).select("project_id", "mdl"))
+    assert rejects.count() == 0
+    assert contents(documents.schema_documents(again, Options())) == contents(
+        documents.schema_documents(rows, Options())
+    )
+
+
+@pytest.mark.parametrize("n, batch, sizes", [(0, 50, []), (1, 50, [1]), (49, 50, [49]), (50, 50, [50]), (51, 50, [50, 1]), (120, 50, [50, 50, 20]), (120, 7, [7] * 17 + [1]), (3, 1, [1, 1, 1])])
+def test_batches(spark, n, batch, sizes):
+    model = {"name": "t", "columns": [{"name": f"c{i}", "type": "x"} for i in range(n)]}
+    rows, _ = mdl_rows(spark, json.dumps({"models": [model]}))
+    chunks = documents.column_chunks(rows, Options(column_batch_size=batch)).orderBy("chunk_no").collect()
+    assert [len(c["commands"]) for c in chunks] == sizes
+    assert [c["name"] for chunk in chunks for c in chunk["commands"]] == [f"c{i}" for i in range(n)]
+
+
+def test_only_foreign_keys_and_hub(spark):
+    spokes = [{"name": f"s{i}", "primaryKey": "id", "columns": [{"name": "id", "type": "x"}]} for i in range(300)]
+    hub = {"name": "hub", "primaryKey": "h", "columns": []}
+    links = [
+        {"name": f"r{i}", "models": [f"s{i}", "hub"], "joinType": "MANY_TO_ONE", "condition": f"s{i}.h = hub.h"}
+        for i in range(300)
+    ]
+    rows, _ = mdl_rows(spark, json.dumps({"models": [*spokes, hub], "relationships": links}))
+    options = Options(column_batch_size=40, fk_mode="reference", number_bucket=16)
+    chunks = documents.column_chunks(rows, options).where("name = 'hub'").orderBy("chunk_no").collect()
+    assert [len(c["commands"]) for c in chunks] == [40] * 7 + [20]
+    assert [c["constraint"] for chunk in chunks for c in chunk["commands"]] == [
+        f"FOREIGN KEY (h) REFERENCES s{i}(id)" for i in range(300)
+    ]
+
+
+def test_number_rows(spark):
+    frame = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7).alias("p"))
+    got = number_rows(frame, ["k"], "p", 50).orderBy("k", "p").collect()
+    for k in range(3):
+        assert [r["rn"] for r in got if r["k"] == k] == list(range(len([r for r in got if r["k"] == k])))
+
+
+def test_extra_comment_builder(spark):
+    rows, _ = mdl_rows(spark, json.dumps({"models": [{"name": "t", "columns": [{"name": "c", "type": "x", "notNull": True}]}]}))
+    docs = documents.chunk_documents(rows, Options(), extra=(lambda c: F.when(c["notNull"], F.lit("-- required\n  ")),))
+    assert contents(docs)[0][1]["columns"][0]["comment"] == "-- required\n  "
