@@ -56,9 +56,9 @@ def py_literal(json: Column) -> Column:
 
 
 def json_string(text: Column) -> Column:
-    """Text as a JSON string, quotes included."""
+    """Text as a JSON string, quotes included; null stays null."""
     listed = F.to_json(F.array(text))
-    return listed.substr(F.lit(2), F.length(listed) - 2)
+    return F.when(text.isNotNull(), listed.substr(F.lit(2), F.length(listed) - 2))
 
 
 def embeddable_text(content: Column) -> Column:

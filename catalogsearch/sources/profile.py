@@ -39,9 +39,10 @@ def fetch_unique_values(
         chosen = columns.get(name, []) if columns is not None else text_columns(frame)
         if not chosen:
             return None
+        quoted = [F.col("`" + c.replace("`", "``") + "`") for c in chosen]
         return (
-            frame.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in chosen])
-            .unpivot([], list(chosen), "column_name", "value")
+            frame.select(*[column.cast("string").alias(c) for column, c in zip(quoted, chosen)])
+            .unpivot([], quoted, "column_name", "value")
             .where(F.col("value").isNotNull())
             .select(F.lit(project_id).alias("project_id"), F.lit(name).alias("table_name"), "column_name", "value")
         )
