@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The DataFrame, computed once and written to `spark.checkpoint.dir`.
+def checkpoint_folder(session: SparkSession) -> str:
+    """The folder for intermediate tables that the cluster names in `spark.checkpoint.dir`.
 
     Without that setting a local session, as in tests, gets a temporary folder.
     """
-    session = frame.sparkSession
     context = session.sparkContext
     if context.getCheckpointDir() is None:
         folder = session.conf.get("spark.checkpoint.dir", None)
@@ -21,4 +20,10 @@ def checkpointed(frame: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The DataFrame, computed once and written to the checkpoint folder."""
+    checkpoint_folder(frame.sparkSession)
     return frame.checkpoint()

@@ -145,7 +145,7 @@ def fetch_primary_keys(catalog: Catalog, options: Options, like: bool = False) -
     return (
         keys.join(catalog.key_usage, [*RELATION_KEYS, "table_name"])
         .groupBy("project_id", "table_name")
-        .agg(F.min_by("column_name", "ordinal_position").alias("column_name"))
+        .agg(F.min(F.struct("ordinal_position", "column_name"))["column_name"].alias("column_name"))
     )
 
 
