@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
 from catalogsearch.options import Options
 from catalogsearch.sources.catalog import Catalog
 from catalogsearch.sources.mdl import validate_mdl
@@ -40,7 +41,7 @@ LINES = f"""
     FROM (
         SELECT o_orderpriority AS project_id, o_orderkey AS okey, 't_o' || o_orderkey AS model,
                l_linenumber AS ordinal,
-               'c' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS name,
+               'c' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || CAST(l_quantity AS INT) || l_returnflag || l_linestatus AS name,
                {TYPE} AS type,
                l_quantity > 25 AS nullable,
                CASE WHEN l_discount > 0.05 THEN 'Part ' || l_partkey END AS note,
@@ -327,8 +328,8 @@ def mdl_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mdl(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents, parsed."""
-    return validate_mdl(mdl_texts(spark, sf))[0]
+    """The documents, parsed once for all that reads them, as an index run does."""
+    return checkpointed(validate_mdl(mdl_texts(spark, sf))[0])
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

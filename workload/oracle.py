@@ -383,9 +383,9 @@ ORACLE["d7_query_by_filters"] = (
 )
 
 CENTROIDS = """
-SELECT label::VARCHAR AS query_id, list(x ORDER BY at) AS embedding, max(n) AS n
-FROM (SELECT label, at, round(avg(x::DOUBLE), 6)::FLOAT AS x, count(*) AS n
-      FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS at FROM embeddings)
+SELECT label::VARCHAR AS query_id, list(x ORDER BY slot) AS embedding, max(n) AS n
+FROM (SELECT label, slot, round(avg(x::DOUBLE), 6)::FLOAT AS x, count(*) AS n
+      FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS slot FROM embeddings)
       GROUP BY ALL) GROUP BY ALL"""
 DISTANCE = "round(list_cosine_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 12)"
 
