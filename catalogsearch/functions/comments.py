@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalogsearch.functions.binding import bind
 from catalogsearch.functions.names import clean_display_name
-from catalogsearch.functions.text import py_literal, py_quote
+from catalogsearch.functions.text import json_string, py_literal, py_quote
 
 CALCULATED = "This column is a Calculated Field"
 JSON_TYPES = ("JSON", "JSON_ARRAY")
@@ -16,8 +17,7 @@ JSON_TYPES = ("JSON", "JSON_ARRAY")
 CommentBuilder = Callable[[Column], Column]
 
 
-def _property(properties: Column, key: str) -> Column:
-    return F.get_json_object(properties, f"$.{key}")
+_KNOWN = "struct<displayName:string,description:string,uniqueValues:string,json_type:string>"
 
 
 def _members(properties: Column, keep: Callable[[Column], Column]) -> Column:
@@ -25,34 +25,44 @@ def _members(properties: Column, keep: Callable[[Column], Column]) -> Column:
     return F.map_filter(bag, lambda key, _: keep(key))
 
 
-def properties_comment(properties: Column) -> Column:
-    """`-- {json}` with the non-empty properties of a column; an empty string if there are none.
+def _labelled(label: str, raw: Column) -> Column:
+    return F.concat(F.lit(f'"{label}":'), raw)
 
-    The pieces are joined as JSON text, so that a long value list is copied and never parsed.
-    """
-    named = F.to_json(
-        F.struct(
-            F.nullif(clean_display_name(_property(properties, "displayName")), F.lit("")).alias("alias"),
-            F.nullif(_property(properties, "description"), F.lit("")).alias("description"),
-        )
-    )
-    values = _property(properties, "uniqueValues")
-    nested = F.when(
-        F.contains(properties, F.lit('"nested')), _members(properties, lambda key: key.startswith("nested"))
-    )
-    json_type = _property(properties, "json_type")
-    json_fields = F.when(json_type.isin(*JSON_TYPES), _members(properties, lambda key: F.contains(key, F.lit("json"))))
-    pieces = F.concat_ws(
+
+def _non_empty(text: Column) -> Column:
+    return bind(text, lambda t: F.when(t != "", json_string(t)))
+
+
+def _pieces(properties: Column, known: Column) -> Column:
+    values, json_type = known["uniqueValues"], known["json_type"]
+    nested = _members(properties, lambda key: key.startswith("nested"))
+    json_fields = _members(properties, lambda key: F.contains(key, F.lit("json")))
+    return F.concat_ws(
         ",",
-        F.nullif(named.substr(F.lit(2), F.length(named) - 2), F.lit("")),
-        F.when(values.startswith("[") & (values != "[]"), F.concat(F.lit('"uniqueValues":'), values)),
-        F.when(F.size(nested) > 0, F.concat(F.lit('"nested_columns":'), F.to_json(nested))),
+        _labelled("alias", _non_empty(clean_display_name(known["displayName"]))),
+        _labelled("description", _non_empty(known["description"])),
+        F.when(values.startswith("[") & (values != "[]"), _labelled("uniqueValues", values)),
         F.when(
-            F.size(json_fields) > 0,
-            F.concat(F.lit('"json_type":"'), json_type, F.lit('","json_fields":'), F.to_json(json_fields)),
+            F.contains(properties, F.lit('"nested')),
+            bind(nested, lambda m: F.when(F.size(m) > 0, _labelled("nested_columns", F.to_json(m)))),
+        ),
+        F.when(
+            json_type.isin(*JSON_TYPES),
+            F.concat(_labelled("json_type", json_string(json_type)), F.lit(","), _labelled("json_fields", F.to_json(json_fields))),
         ),
     )
-    return F.when(pieces != "", F.concat(F.lit("-- {"), pieces, F.lit("}\n  "))).otherwise("")
+
+
+def properties_comment(properties: Column) -> Column:
+    """`-- {json}` with the non-empty properties of a column; an empty string if there are none.
+
+    The pieces are joined as JSON text, so that a long value list is copied and never taken apart.
+    """
+    pieces = bind(F.from_json(properties, _KNOWN), lambda known: _pieces(properties, known))
+    return bind(
+        pieces,
+        lambda p: F.when(p != "", F.concat(F.lit("-- {"), p, F.lit("}\n  "))).otherwise(""),
+    )
 
 
 def calculated_comment(is_calculated: Column, expression: Column) -> Column:
@@ -76,11 +86,15 @@ def column_comment(column: Column, extra: tuple[CommentBuilder, ...] = ()) -> Co
 
 def model_comment(properties: Column) -> Column:
     """Alias and description of a table."""
-    alias = F.coalesce(clean_display_name(_property(properties, "displayName")), F.lit(""))
-    description = F.coalesce(_property(properties, "description"), F.lit(""))
-    return F.concat(
-        F.lit("\n/* {'alias': "), py_quote(alias), F.lit(", 'description': "), py_quote(description), F.lit("} */\n")
-    )
+
+    def shown(known: Column) -> Column:
+        alias = F.coalesce(clean_display_name(known["displayName"]), F.lit(""))
+        description = F.coalesce(known["description"], F.lit(""))
+        return F.concat(
+            F.lit("\n/* {'alias': "), py_quote(alias), F.lit(", 'description': "), py_quote(description), F.lit("} */\n")
+        )
+
+    return bind(F.from_json(properties, _KNOWN), shown)
 
 
 def view_comment(properties: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from catalogsearch.functions.binding import bind
+
 # Characters a Python string literal shows as an escape: controls and separators, the space aside.
 _ESCAPED = r"[\p{C}\p{Z}&&[^ ]]"
 # JSON tokens: strings, punctuation, and the rest (numbers, true, false, null).
@@ -22,20 +24,27 @@ def _escape_code(char: Column) -> Column:
     )
 
 
-def py_quote(text: Column) -> Column:
-    """Text as a Python string literal."""
+def _escaped(text: Column) -> Column:
     body = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for char, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         body = F.replace(body, F.lit(char), F.lit(shown))
-    body = F.when(
-        body.rlike(_ESCAPED),
-        F.array_join(
-            F.transform(F.split(body, ""), lambda c: F.when(c.rlike(_ESCAPED), _escape_code(c)).otherwise(c)), ""
-        ),
-    ).otherwise(body)
-    return F.when(
-        F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), F.concat(F.lit('"'), body, F.lit('"'))
-    ).otherwise(F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+    def by_character(shown: Column) -> Column:
+        chars = F.transform(F.split(shown, ""), lambda c: F.when(c.rlike(_ESCAPED), _escape_code(c)).otherwise(c))
+        return F.when(shown.rlike(_ESCAPED), F.array_join(chars, "")).otherwise(shown)
+
+    return bind(body, by_character)
+
+
+def py_quote(text: Column) -> Column:
+    """Text as a Python string literal."""
+
+    def quoted(t: Column) -> Column:
+        return F.when(
+            F.contains(t, F.lit("'")) & ~F.contains(t, F.lit('"')), F.concat(F.lit('"'), _escaped(t), F.lit('"'))
+        ).otherwise(F.concat(F.lit("'"), F.replace(_escaped(t), F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+    return bind(text, quoted)
 
 
 def py_literal(json: Column) -> Column:
@@ -57,8 +66,8 @@ def py_literal(json: Column) -> Column:
 
 def json_string(text: Column) -> Column:
     """Text as a JSON string, quotes included; null stays null."""
-    listed = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), listed.substr(F.lit(2), F.length(listed) - 2))
+    # The brackets of a list of one go; those of the text are inside its quotes.
+    return bind(text, lambda t: F.when(t.isNotNull(), F.btrim(F.to_json(F.array(t)), F.lit("[]"))))
 
 
 def embeddable_text(content: Column) -> Column:

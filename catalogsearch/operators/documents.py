@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogsearch.functions import comments
+from catalogsearch.functions.binding import bind
 from catalogsearch.functions.comments import CommentBuilder
 from catalogsearch.operators.numbering import number_rows
 from catalogsearch.options import Options
@@ -65,9 +66,12 @@ def column_commands(models: DataFrame, extra: tuple[CommentBuilder, ...] = ()) -
 
 def _key_column(condition: Column, side: Column) -> Column:
     """Column named by one side of `"a".x = "b".y`."""
-    part = F.get(F.split(condition, " = "), side)
-    quoted = F.regexp_extract(part, r'^"[^"]*"\.(.+)$', 1)
-    return _text(F.when(part.startswith('"'), quoted).otherwise(F.get(F.split(part, r"\."), F.lit(1))))
+
+    def column(part: Column) -> Column:
+        quoted = F.regexp_extract(part, r'^"[^"]*"\.(.+)$', 1)
+        return _text(F.when(part.startswith('"'), quoted).otherwise(F.get(F.split(part, r"\."), F.lit(1))))
+
+    return bind(F.get(F.split(condition, " = "), side), column)
 
 
 def relationship_commands(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:

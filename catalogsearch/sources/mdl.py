@@ -42,9 +42,13 @@ VALUE_BYTES = 256 * 1024 * 1024
 
 
 def _object(*members: tuple[str, Column]) -> Column:
-    """JSON object of raw JSON members; null members are left out, an empty object is null."""
+    """JSON object of raw JSON members; null members are left out."""
     body = F.concat_ws(",", *[F.concat(F.lit(f'"{key}":'), raw) for key, raw in members])
-    return F.when(body != "", F.concat(F.lit("{"), body, F.lit("}")))
+    return F.concat(F.lit("{"), body, F.lit("}"))
+
+
+def _given(json: Column) -> Column:
+    return F.nullif(json, F.lit("{}"))
 
 
 def _described(text: Column) -> Column:
@@ -78,8 +82,10 @@ def catalog_models(
         F.lit(None).cast("boolean").alias("isHidden"),
         F.lit(None).cast("string").alias("expression"),
         F.lit(None).cast("string").alias("relationship"),
-        _object(
-            ("description", _described(F.col("column_description"))), ("uniqueValues", F.col("unique_values"))
+        _given(
+            _object(
+                ("description", _described(F.col("column_description"))), ("uniqueValues", F.col("unique_values"))
+            )
         ).alias("properties"),
     ).cast(MDL_COLUMN)
     # The width of a table bounds each of these lists.
@@ -99,7 +105,7 @@ def catalog_models(
                 ),
                 F.coalesce(F.transform("columns", lambda c: c["column"]), empty_list(MDL_COLUMN)).alias("columns"),
                 F.col("primary_key").alias("primaryKey"),
-                _object(("description", _described(F.col("table_description")))).alias("properties"),
+                _given(_object(("description", _described(F.col("table_description"))))).alias("properties"),
             )
             .cast(MDL_MODEL)
             .alias("item"),
