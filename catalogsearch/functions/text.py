@@ -12,7 +12,8 @@ _ESCAPED = r"[\p{C}\p{Z}&&[^ ]]"
 # JSON tokens: strings, punctuation, and the rest (numbers, true, false, null).
 _JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^\s\[\]{},:"]+'
 # Estimated tokens: a run of word characters, or any other character that is no white space.
-TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r]"
+WORD = "[A-Za-z0-9_]+"
+SPACES = " \t\n\r"
 
 
 def _escape_code(char: Column) -> Column:
@@ -82,4 +83,5 @@ def collapse_newlines(text: Column) -> Column:
 
 def estimate_tokens(text: Column) -> Column:
     """Number of words and single symbols, as an estimate of model tokens."""
-    return F.regexp_count(text, F.lit(TOKEN)).cast("bigint")
+    one_each = F.translate(F.regexp_replace(text, WORD, "w"), SPACES, "")
+    return F.length(one_each).cast("bigint")

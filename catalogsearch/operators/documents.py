@@ -74,8 +74,8 @@ def _key_column(condition: Column, side: Column) -> Column:
     return bind(F.get(F.split(condition, " = "), side), column)
 
 
-def relationship_commands(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
-    """Foreign key commands of the models they belong to, by relation position.
+def relation_ends(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
+    """Models that own a foreign key line, by relation position.
 
     In `source_only` mode a relation belongs to its first model. In `reference` mode it is
     repeated on the second, and a model that relates to itself has it once.
@@ -89,45 +89,51 @@ def relationship_commands(mdl: DataFrame, models: DataFrame, options: Options) -
         sides = F.when(first == second, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
     else:
         sides = F.array(F.lit(0))
-    side = F.col("side")
-    ends = pair.select(F.col("project_id"), F.col("pos").alias("rel_pos"), "item", F.explode(sides).alias("side"))
-    ends = ends.select(
-        "project_id",
-        "rel_pos",
-        F.get(item["models"], side).alias("name"),
-        F.get(item["models"], 1 - side).alias("related"),
-        _key_column(_text(item["condition"]), side).alias("fk_column"),
-        comments.relation_comment(_text(item["condition"]), item["joinType"]).alias("comment"),
-        item["models"].alias("tables"),
-    )
+    ends = pair.select(
+        "project_id", F.col("pos").alias("rel_pos"), "item", F.explode(sides).alias("side")
+    ).withColumn("name", F.get(item["models"], F.col("side")))
+    owners = models.select("project_id", "name", "pos", "n_columns")
+    return ends.join(owners, ["project_id", "name"])
+
+
+def with_key_command(ends: DataFrame, models: DataFrame) -> DataFrame:
+    """Adds the foreign key command of each end."""
+    item, side = F.col("item"), F.col("side")
+    condition = _text(item["condition"])
     keys = models.groupBy("project_id", F.col("name").alias("related")).agg(
         F.max_by("primary_key", "pos").alias("related_key")
     )
-    owners = models.select("project_id", "name", "pos", "n_columns")
+    constraint = F.concat(
+        F.lit("FOREIGN KEY ("),
+        _key_column(condition, side),
+        F.lit(") REFERENCES "),
+        F.col("related"),
+        F.lit("("),
+        _text(F.col("related_key")),
+        F.lit(")"),
+    )
     command = F.struct(
         F.lit("FOREIGN_KEY").alias("type"),
-        F.col("comment"),
+        comments.relation_comment(condition, item["joinType"]).alias("comment"),
         F.lit(None).cast("string").alias("name"),
         F.lit(None).cast("string").alias("data_type"),
         F.lit(None).cast("boolean").alias("is_primary_key"),
-        F.concat(
-            F.lit("FOREIGN KEY ("),
-            F.col("fk_column"),
-            F.lit(") REFERENCES "),
-            F.col("related"),
-            F.lit("("),
-            _text(F.col("related_key")),
-            F.lit(")"),
-        ).alias("constraint"),
-        F.col("tables"),
+        constraint.alias("constraint"),
+        item["models"].alias("tables"),
     ).cast(COMMAND)
     return (
-        ends.join(keys, ["project_id", "related"], "left")
-        .join(owners, ["project_id", "name"])
-        .select("project_id", "pos", "name", "n_columns", "rel_pos", command.alias("command"))
+        ends.withColumn("related", F.get(item["models"], 1 - side))
+        .join(keys, ["project_id", "related"], "left")
+        .withColumn("command", command)
+        .drop("item", "side", "related", "related_key")
     )
 
 
+def relationship_commands(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
+    """Foreign key commands of the models they belong to: `(project_id, pos, name, n_columns, rel_pos, command)`."""
+    return with_key_command(relation_ends(mdl, models, options), models)
+
+
 def column_chunks(mdl: DataFrame, options: Options, extra: tuple[CommentBuilder, ...] = ()) -> DataFrame:
     """Commands of each model, columns before foreign keys, in batches of `column_batch_size`."""
     size = options.column_batch_size
@@ -144,11 +150,12 @@ def column_chunks(mdl: DataFrame, options: Options, extra: tuple[CommentBuilder,
         F.lit(0).alias("_source"),
         F.slice("commands", F.col("chunk_no") * size + 1, F.lit(size)).alias("commands"),
     )
-    relations = number_rows(
-        relationship_commands(mdl, models, options), ["project_id", "pos"], "rel_pos", options.number_bucket
+    numbered = number_rows(
+        relation_ends(mdl, models, options), ["project_id", "pos"], "rel_pos", options.number_bucket
     )
     keys = (
-        relations.withColumn("chunk_no", F.floor((F.col("n_columns") + F.col("rn")) / size).cast("int"))
+        with_key_command(numbered, models)
+        .withColumn("chunk_no", F.floor((F.col("n_columns") + F.col("rn")) / size).cast("int"))
         .groupBy("project_id", "pos", "name", "chunk_no")
         .agg(F.sort_array(F.collect_list(F.struct("rn", "command"))).alias("numbered"))
         .select(

@@ -120,7 +120,7 @@ def fetch_tables(catalog: Catalog, options: Options, like: bool = False) -> Data
 
 
 def columns_of(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
-    """Columns with their type and nullability."""
+    """Columns with their type, nullability and comment."""
     return catalog.columns.where(named(options, like)).select(
         "project_id",
         "table_name",
@@ -128,12 +128,13 @@ def columns_of(catalog: Catalog, options: Options, like: bool = False) -> DataFr
         "ordinal_position",
         "data_type",
         (F.col("is_nullable") == "NO").alias("not_null"),
+        "comment",
     )
 
 
 def fetch_columns(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
     """Columns in ordinal order."""
-    return columns_of(catalog, options, like).orderBy("project_id", "table_name", "ordinal_position")
+    return columns_of(catalog, options, like).drop("comment").orderBy("project_id", "table_name", "ordinal_position")
 
 
 def fetch_primary_keys(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
@@ -204,22 +205,22 @@ def fetch_relationships(catalog: Catalog, options: Options, like: bool = False)
     )
 
 
-def fetch_views(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
-    """Views with their definition and a standard description, sorted."""
-    return (
-        catalog.views.where(named(options, like))
-        .select(
-            "project_id",
-            F.col("table_name").alias("name"),
-            F.col("view_definition").alias("statement"),
-            F.to_json(F.struct(F.concat(F.lit("View for "), F.col("table_name")).alias("description"))).alias(
-                "properties"
-            ),
-        )
-        .orderBy("project_id", "name")
+def views_of(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
+    """Views with their definition and a standard description."""
+    description = F.concat(F.lit("View for "), F.col("table_name")).alias("description")
+    return catalog.views.where(named(options, like)).select(
+        "project_id",
+        F.col("table_name").alias("name"),
+        F.col("view_definition").alias("statement"),
+        F.to_json(F.struct(description)).alias("properties"),
     )
 
 
+def fetch_views(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
+    """The same, sorted."""
+    return views_of(catalog, options, like).orderBy("project_id", "name")
+
+
 def text_columns(frame: DataFrame) -> list[str]:
     """Names of the text columns of a DataFrame."""
     return [

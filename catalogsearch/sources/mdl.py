@@ -22,13 +22,14 @@ from catalogsearch.schemas import (
     empty_list,
 )
 from catalogsearch.sources.catalog import (
+    RELATION_KEYS,
     Catalog,
     base_tables,
     columns_of,
-    fetch_column_descriptions,
     fetch_primary_keys,
     fetch_relationships,
-    fetch_views,
+    named,
+    views_of,
 )
 from catalogsearch.sources.profile import nest_values
 
@@ -63,12 +64,8 @@ def catalog_models(
     oversize: str = "error",
 ) -> DataFrame:
     """One MDL model per base table, columns in ordinal order."""
-    tables = base_tables(catalog, options).select(
-        "project_id", "table_name", F.coalesce("comment", F.lit("")).alias("table_description")
-    )
-    columns = columns_of(catalog, options).join(
-        fetch_column_descriptions(catalog, options), ["project_id", "table_name", "column_name"]
-    )
+    tables = base_tables(catalog, options).select("project_id", "table_name", "comment")
+    columns = columns_of(catalog, options)
     if values is None:
         columns = columns.withColumn("unique_values", F.lit(None).cast("string"))
     else:
@@ -84,7 +81,7 @@ def catalog_models(
         F.lit(None).cast("string").alias("relationship"),
         _given(
             _object(
-                ("description", _described(F.col("column_description"))), ("uniqueValues", F.col("unique_values"))
+                ("description", _described(F.col("comment"))), ("uniqueValues", F.col("unique_values"))
             )
         ).alias("properties"),
     ).cast(MDL_COLUMN)
@@ -105,7 +102,7 @@ def catalog_models(
                 ),
                 F.coalesce(F.transform("columns", lambda c: c["column"]), empty_list(MDL_COLUMN)).alias("columns"),
                 F.col("primary_key").alias("primaryKey"),
-                _given(_object(("description", _described(F.col("table_description"))))).alias("properties"),
+                _given(_object(("description", _described(F.col("comment"))))).alias("properties"),
             )
             .cast(MDL_MODEL)
             .alias("item"),
@@ -122,14 +119,15 @@ def build_mdl(
 ) -> DataFrame:
     """MDL rows of every project in the catalog.
 
-    Models are sorted by name, relationships by name and condition, views by name.
+    Models are sorted by name, relationships by name and condition, views by name. The values are
+    read twice, for their sizes and for the lists: pass a written or checkpointed table.
     """
     kinds = {
         "models": catalog_models(catalog, values, options, max_value_bytes, oversize),
         "relationships": fetch_relationships(catalog, options).select(
             "project_id", F.struct("name", "models", "joinType", "condition").cast(MDL_RELATIONSHIP).alias("item")
         ),
-        "views": fetch_views(catalog, options).select(
+        "views": views_of(catalog, options).select(
             "project_id", F.struct("name", "statement", "properties").cast(MDL_VIEW).alias("item")
         ),
     }
@@ -159,10 +157,12 @@ def build_mdl(
 
 
 def _project_sizes(catalog: Catalog, options: Options) -> DataFrame:
+    """Resources per project; foreign keys are counted by the columns they refer to."""
+    foreign = catalog.constraints.where(F.col("constraint_type") == "FOREIGN KEY").select(*RELATION_KEYS)
     counted = [
         base_tables(catalog, options).select("project_id"),
-        fetch_relationships(catalog, options).select("project_id"),
-        fetch_views(catalog, options).select("project_id"),
+        catalog.constraint_columns.join(foreign, RELATION_KEYS, "left_semi").where(named(options)).select("project_id"),
+        catalog.views.where(named(options)).select("project_id"),
     ]
     return counted[0].unionAll(counted[1]).unionAll(counted[2]).groupBy("project_id").agg(F.count("*").alias("n"))
 

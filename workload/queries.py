@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogsearch.checkpoints import checkpoint_folder
+from catalogsearch.checkpoints import checkpoint_folder, checkpointed
 from catalogsearch.functions import comments, filters, names, text, types
 from catalogsearch.operators import ddl, documents, embed, lookup, pruning, search
 from catalogsearch.plans.index import index_projects
@@ -79,7 +79,8 @@ def c8_value_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def c9_build_mdl(spark: SparkSession, sf: str) -> DataFrame:
-    built = mdl_source.build_mdl(b.catalog(spark, sf), b.column_values(spark, sf), OPTIONS)
+    values = checkpointed(b.column_values(spark, sf))
+    built = mdl_source.build_mdl(b.catalog(spark, sf), values, OPTIONS)
     item = F.col("item")
     kinds = {
         "model": ("models", mdl_source.model_json(item)),
@@ -281,7 +282,10 @@ def e1_embeddable_texts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def e2_embed_documents(spark: SparkSession, sf: str) -> DataFrame:
     embedded = embed.embed_documents(
-        b.documents(spark, sf).select("id", "content"), embed.hashing_embedder(DIM), OPTIONS.embed_batch
+        b.documents(spark, sf).select("id", "content"),
+        embed.hashing_embedder(DIM),
+        OPTIONS.embed_batch,
+        spark.sparkContext.defaultParallelism,
     )
     return (
         embedded.select("id", F.posexplode("embedding").alias("slot", "value"))
