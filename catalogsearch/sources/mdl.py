@@ -57,14 +57,14 @@ def _described(text: Column) -> Column:
 
 
 def catalog_models(
+    tables: DataFrame,
     catalog: Catalog,
     values: DataFrame | None,
     options: Options,
     max_value_bytes: int = VALUE_BYTES,
     oversize: str = "error",
 ) -> DataFrame:
-    """One MDL model per base table, columns in ordinal order."""
-    tables = base_tables(catalog, options).select("project_id", "table_name", "comment")
+    """One MDL model per given base table, columns in ordinal order."""
     columns = columns_of(catalog, options)
     if values is None:
         columns = columns.withColumn("unique_values", F.lit(None).cast("string"))
@@ -95,6 +95,7 @@ def catalog_models(
         .join(keys, ["project_id", "table_name"], "left")
         .select(
             "project_id",
+            "part_no",
             F.struct(
                 F.col("table_name").alias("name"),
                 F.struct(F.lit(options.schema).alias("schema"), F.col("table_name").alias("table")).alias(
@@ -122,36 +123,38 @@ def build_mdl(
     Models are sorted by name, relationships by name and condition, views by name. The values are
     read twice, for their sizes and for the lists: pass a written or checkpointed table.
     """
+    sizes = _project_sizes(catalog, options).select(
+        "project_id", F.ceil(F.col("n") / options.mdl_part_size).alias("n_parts")
+    )
+
+    def parted(frame: DataFrame, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64(name), F.col("n_parts")).cast("int")
+        return frame.join(sizes, "project_id").withColumn("part_no", part).drop("n_parts")
+
+    # Parts are assigned to bare names, before the columns come in.
+    tables = parted(base_tables(catalog, options).select("project_id", "table_name", "comment"), "table_name")
     kinds = {
-        "models": catalog_models(catalog, values, options, max_value_bytes, oversize),
-        "relationships": fetch_relationships(catalog, options).select(
-            "project_id", F.struct("name", "models", "joinType", "condition").cast(MDL_RELATIONSHIP).alias("item")
+        "models": catalog_models(tables, catalog, values, options, max_value_bytes, oversize),
+        "relationships": parted(fetch_relationships(catalog, options), "name").select(
+            "project_id",
+            "part_no",
+            F.struct("name", "models", "joinType", "condition").cast(MDL_RELATIONSHIP).alias("item"),
         ),
-        "views": views_of(catalog, options).select(
-            "project_id", F.struct("name", "statement", "properties").cast(MDL_VIEW).alias("item")
+        "views": parted(views_of(catalog, options), "name").select(
+            "project_id", "part_no", F.struct("name", "statement", "properties").cast(MDL_VIEW).alias("item")
         ),
     }
     rows = None
     for kind, items in kinds.items():
         part = items.select(
             "project_id",
-            F.col("item.name").alias("name"),
+            "part_no",
             *[(F.col("item") if k == kind else F.lit(None).cast(LISTS[k])).alias(k) for k in kinds],
         )
         rows = part if rows is None else rows.unionByName(part)
-
-    sizes = _project_sizes(catalog, options).select(
-        "project_id", F.ceil(F.col("n") / options.mdl_part_size).alias("n_parts")
-    )
     return (
-        rows.join(sizes, "project_id")
-        .withColumn("part_no", F.pmod(F.xxhash64("name"), F.col("n_parts")).cast("int"))
-        .groupBy("project_id", "part_no")
-        .agg(
-            F.sort_array(F.collect_list("models")).alias("models"),
-            F.sort_array(F.collect_list("relationships")).alias("relationships"),
-            F.sort_array(F.collect_list("views")).alias("views"),
-        )
+        rows.groupBy("project_id", "part_no")
+        .agg(*[F.sort_array(F.collect_list(kind)).alias(kind) for kind in kinds])
         .withColumn("metrics", empty_list(MDL_METRIC))
     )
 
