@@ -208,8 +208,8 @@ def nearest_documents(queries: DataFrame, documents: DataFrame, k: int, options:
     projects. `documents` has `id, project_id, embedding`. Distance is cosine; a vector that is
     null or zero has none and ranks last. Ties are broken by id.
 
-    A question batch of up to `broadcast_queries` rows is shipped to the tasks that scan the
-    documents. A larger one meets them in a join of blocks. Filter `documents` first: predicates
+    A question batch of up to `broadcast_queries` rows and `broadcast_bytes` is shipped to the
+    tasks that scan the documents. A larger one meets them in a join of blocks. Filter `documents` first: predicates
     on its columns reach the scan.
     """
     queries = queries.select(
@@ -217,7 +217,7 @@ def nearest_documents(queries: DataFrame, documents: DataFrame, k: int, options:
     ).where(F.size("embedding") > 0)
     documents = documents.select("id", F.col("project_id").cast("string").alias("project_id"), "embedding")
     questions = queries.limit(options.broadcast_queries + 1).toArrow()
-    if questions.num_rows <= options.broadcast_queries:
+    if questions.num_rows <= options.broadcast_queries and questions.nbytes <= options.broadcast_bytes:
         hits = _scan_hits(questions, queries, documents, k)
     else:
         hits = _block_join_hits(queries, documents, k, options)

@@ -27,7 +27,8 @@ class Options:
 
     mdl_part_size: int = 1_000  # resources per MDL row
     number_bucket: int = 4_096  # rows of one key that are numbered in one window
-    broadcast_queries: int = 4_096  # largest question batch shipped to every task
+    broadcast_queries: int = 4_096  # largest question batch shipped to every task,
+    broadcast_bytes: int = 128 * 1024 * 1024  # and its largest size
     doc_block: int = 8_192  # documents per block beyond that
     query_block: int = 1_024  # questions per block beyond that
 

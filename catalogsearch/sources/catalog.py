@@ -83,8 +83,15 @@ _JDBC = {
         SELECT table_schema, table_name, constraint_name, column_name, ordinal_position::int AS ordinal_position
         FROM information_schema.key_column_usage""",
     "cat_constraint_columns": """
-        SELECT table_schema, table_name, constraint_name, column_name
-        FROM information_schema.constraint_column_usage""",
+        SELECT n.nspname AS table_schema, r.relname AS table_name, k.conname AS constraint_name,
+               a.attname AS column_name, u.place::int AS ordinal_position, t.relname AS source_table
+        FROM pg_constraint k
+        JOIN pg_class t ON t.oid = k.conrelid
+        JOIN pg_class r ON r.oid = k.confrelid
+        JOIN pg_namespace n ON n.oid = r.relnamespace
+        CROSS JOIN LATERAL unnest(k.confkey) WITH ORDINALITY AS u(attnum, place)
+        JOIN pg_attribute a ON a.attrelid = k.confrelid AND a.attnum = u.attnum
+        WHERE k.contype = 'f'""",
     "cat_views": """
         SELECT table_schema, table_name, view_definition
         FROM information_schema.views""",

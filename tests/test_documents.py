@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from catalogsearch.operators import documents
 from catalogsearch.operators.numbering import number_rows
+from catalogsearch.operators.lookup import assemble
 from catalogsearch.options import Options
+from catalogsearch.schemas import CONTENT
 from catalogsearch.sources.mdl import mdl_json, validate_mdl
 
 SHOP = {
@@ -216,3 +218,44 @@ def test_extra_comment_builder(spark):
     rows, _ = mdl_rows(spark, json.dumps({"models": [{"name": "t", "columns": [{"name": "c", "type": "x", "notNull": True}]}]}))
     docs = documents.chunk_documents(rows, Options(), extra=(lambda c: F.when(c["notNull"], F.lit("-- required\n  ")),))
     assert contents(docs)[0][1]["columns"][0]["comment"] == "-- required\n  "
+
+
+@pytest.mark.parametrize("batch", [1, 7, 50])
+def test_assembling_gives_back_the_commands(spark, batch):
+    models = [
+        {"name": f"t{n}", "columns": [{"name": f"c{i}", "type": "x"} for i in range(n)]} for n in (1, 6, 7, 8, 60)
+    ]
+    rows, _ = mdl_rows(spark, json.dumps({"models": models}), json.dumps({"models": models[:2]}))
+    chunks = documents.schema_documents(rows, Options(column_batch_size=batch)).select(
+        F.lit("q").alias("query_id"), "project_id", "name", "ord", F.from_json("content", CONTENT).alias("content")
+    )
+    got = {
+        (r["project_id"], r["name"]): [c["name"] for c in r["commands"]]
+        for r in assemble(chunks.repartition(5), "ord").collect()
+    }
+    expected = {("p0", f"t{n}"): [f"c{i}" for i in range(n)] for n in (1, 6, 7, 8, 60)}
+    expected |= {("p1", f"t{n}"): [f"c{i}" for i in range(n)] for n in (1, 6)}
+    assert got == expected
+
+
+def test_assembling_edge_cases(spark):
+    def chunk(name, place, content):
+        return ("q", "p", name, place, content)
+
+    columns = {"type": "TABLE_COLUMNS", "columns": [col("a", "x")]}
+    rows = [
+        chunk("two", 1, {"type": "TABLE", "name": "two", "comment": "old"}),
+        chunk("two", 2, columns),
+        chunk("two", 3, {"type": "TABLE", "name": "two", "comment": "new"}),
+        chunk("bare", 4, {"type": "TABLE", "name": "bare", "comment": ""}),
+        chunk("bare", 5, {"type": "TABLE", "name": "bare", "comment": ""}),
+        chunk("headless", 6, columns),
+        chunk("", 7, columns),
+        chunk("", 8, {"type": "TABLE", "name": "", "comment": ""}),
+        chunk("m", 9, {"type": "METRIC", "name": "m", "comment": "", "columns": []}),
+    ]
+    frame = spark.createDataFrame(
+        [(*r[:4], json.dumps(r[4])) for r in rows], "query_id string, project_id string, name string, rank int, c string"
+    ).withColumn("content", F.from_json("c", CONTENT))
+    got = assemble(frame).collect()
+    assert [(r["name"], r["header"]["comment"], len(r["commands"])) for r in got] == [("two", "new", 1)]

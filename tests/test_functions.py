@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from catalogsearch.functions import comments, filters, names, text, types, vectors
+from catalogsearch.functions import comments, filters, names, text, tokens, types, vectors
 
 
 def column(spark, values, expression):
@@ -86,6 +86,16 @@ def test_estimate_tokens(spark):
     assert column(spark, ["", "a_1 b", "f(x);\n é", "😀"], text.estimate_tokens) == [0, 2, 6, 1]
 
 
+def test_token_counter(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+
+    def open_encoding():
+        ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+        return tiktoken.Encoding("bytes", pat_str=r"\w+|\W", mergeable_ranks=ranks, special_tokens={})
+
+    assert column(spark, ["ab ab", "é", "", None], tokens.token_counter(open_encoding)) == [3, 2, 0, None]
+
+
 def test_supported_type(spark):
     given = ["bpchar", "NAME", "Uuid", "inet", "oid", "bignumeric", "bytes", "datetime", "float64", "int64", "jsonb"]
     assert column(spark, given, types.supported_type) == [
