@@ -15,6 +15,8 @@ from catalogsearch.functions.vectors import score
 from catalogsearch.options import Options
 
 QUERY_ROWS = 256  # rows of one product; bounds its size together with the Arrow batch
+GROUP_LIMIT = 1_000  # Spark's default bound on k for dropping rows early
+SALTS = 64
 DIGITS = 12  # equal vectors get equal distances, whatever block they are in
 
 
@@ -195,10 +197,23 @@ def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options:
     return pairs.mapInArrow(run, _hit_schema(queries, documents))
 
 
-def rank_first(frame: DataFrame, keys: list[str], order: list[Column], k: int, alias: str = "rank") -> DataFrame:
-    """First k rows of each key, numbered from 1; rows beyond k are dropped before the shuffle."""
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return frame.withColumn(alias, number).where(F.col(alias) <= k)
+def rank_first(
+    frame: DataFrame, keys: list[str], order: list[Column], k: int, alias: str = "rank", spread: str = "id"
+) -> DataFrame:
+    """First k rows of each key, numbered from 1.
+
+    Spark drops rows beyond a small k before the shuffle. For a larger one, each key is cut in
+    parts by the `spread` column first, so that a hot key is never ranked as a whole.
+    """
+
+    def cut(rows: DataFrame, by: list[str]) -> DataFrame:
+        number = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn(alias, number).where(F.col(alias) <= k)
+
+    if k >= GROUP_LIMIT:
+        salted = frame.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+        frame = cut(salted, [*keys, "_salt"]).drop("_salt", alias)
+    return cut(frame, keys)
 
 
 def nearest_documents(queries: DataFrame, documents: DataFrame, k: int, options: Options = Options()) -> DataFrame:

@@ -115,3 +115,20 @@ def test_documents_are_not_shuffled(spark):
     queries = docs.where("id < 3").select(F.col("id").alias("query_id"), "project_id", "embedding")
     plan = nearest_documents(queries, docs, 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("k", [5, 1500])
+def test_hot_key_is_cut_before_it_meets(spark, k):
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        (F.col("id") * 7919 % 20011).alias("place"),
+        "id",
+    )
+    expected = {}
+    for r in rows.orderBy("place").collect():
+        expected.setdefault(r["key"], []).append(r["id"])
+    got = rank_first(rows, ["key"], [F.col("place")], k)
+    found = {}
+    for r in got.orderBy("rank").collect():
+        found.setdefault(r["key"], []).append(r["id"])
+    assert found == {key: ids[:k] for key, ids in expected.items()}
