@@ -236,8 +236,8 @@ def m9_column_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m10_document_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Payload kinds of each model in document order: its chunks, then its header."""
     docs = documents.schema_documents(b.mdl(spark, sf), OPTIONS).where("ord.section = 0")
-    # Counts on this side of the header: a model has its chunks first, then its header.
     return docs.groupBy("project_id", "name").agg(
         F.array_join(
             F.transform(
