@@ -137,7 +137,7 @@ SELECT project_id, 'view', name, statement FROM vw"""
 )
 ORACLE["c10_write_and_read_mdl"] = (
     CATALOG
-    + """SELECT project_id, table_name AS name, count(column_name) AS n_columns
+    + """SELECT project_id, table_name AS name, count(column_name)::INT AS n_columns
          FROM tab t LEFT JOIN col USING (project_id, table_name) WHERE table_type = 'BASE TABLE' GROUP BY ALL"""
 )
 
