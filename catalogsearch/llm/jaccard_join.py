@@ -41,7 +41,7 @@ RECALL = 0.9998
 GROUP_CLASSES = 512
 GROUP_SHINGLES = 400_000
 
-SIGNED = "doc_id bigint, node binary, n_shingles int, paths array<bigint>"
+SIGNED = "doc_id bigint, text_hash bigint, node binary, n_shingles int, paths array<bigint>"
 
 
 def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -75,7 +75,7 @@ def _signature(found: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> n
 
 
 def signed(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`doc_id, node, n_shingles, paths` of each document; a text without words has a null node."""
+    """`doc_id, text_hash, node, n_shingles, paths` of each document; a text without words has a null node."""
     depth = matched_depth(threshold)
     random = np.random.default_rng(11)
     factors = random.integers(0, 1 << 31, TREES * depth, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -101,12 +101,12 @@ def signed(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                         memo[node] = mix((mix(values + np.uint64(1)) * places).sum(axis=1, dtype=np.uint64)).view(np.int64)
                     nodes.append(node), sizes.append(len(found)), paths.append(memo[node])
                 yield pa.RecordBatch.from_arrays(
-                    [some["doc_id"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(paths, pa.list_(pa.int64()))],
-                    ["doc_id", "node", "n_shingles", "paths"],
+                    [some["doc_id"], some["text_hash"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(paths, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "node", "n_shingles", "paths"],
                 )
 
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(sign, SIGNED)
+    return texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, SIGNED)
 
 
 def _ties(classes: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def _verify(threshold: float):
 def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each of `documents(doc_id, text)`: `class_id`, the smallest doc_id that a chain of links or copies
     reaches; `copy_of`, the smallest doc_id with the same shingles; `n_links`, the number of other classes of copies at
-    the threshold or more; `node`, the key of its class.
+    the threshold or more; `group_key`, the component's key, null for a text without words; `text_hash`.
     """
     rows = written(signed(documents, threshold), "signed")
     filled = rows.filter("node IS NOT NULL")
@@ -221,6 +221,26 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     facts = classes.select("node", "copy_of").join(chains, "node", "left").join(links, "node", "left")
     facts = written(facts.select("node", "copy_of", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "facts")
     firsts = facts.groupBy("label").agg(F.min("copy_of").alias("class_id"))
-    placed = facts.join(firsts, "label").select("node", "copy_of", "class_id", "n_links")
-    alone = rows.filter("node IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("bigint").alias("n_links"), "node")
-    return rows.filter("node IS NOT NULL").select("doc_id", "node").join(placed, "node").select("doc_id", "class_id", "copy_of", "n_links", "node").unionByName(alone)
+    placed = facts.join(firsts, "label").select("node", "copy_of", "class_id", "n_links", F.col("label").alias("group_key"))
+    columns = ["doc_id", "class_id", "copy_of", "n_links", "group_key", "text_hash"]
+    own = F.col("doc_id")
+    alone = rows.filter("node IS NULL").select(own, own.alias("class_id"), own.alias("copy_of"), F.lit(0).cast("bigint").alias("n_links"), F.col("node").alias("group_key"), "text_hash")
+    return filled.select("doc_id", "text_hash", "node").join(placed, "node").select(*columns).unionByName(alone)
+
+
+def first_of_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `documents(doc_id, text, ...)`, one of each group: the one with the smallest doc_id.
+
+    Rows without words stay, but rows that agree in doc_id and text are one.
+    """
+    joined = jaccard_join(documents, threshold)
+    grouped = joined.filter("group_key IS NOT NULL").groupBy("group_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    stays = grouped.unionByName(joined.filter("group_key IS NULL").select("doc_id", "text_hash"))
+    stays = stays.select(F.col("doc_id").alias("stays_id"), F.col("text_hash").alias("stays_hash"))
+    names = [f"c{i}" for i in range(len(documents.columns))]  # whatever the columns are called
+    rows = documents.toDF(*names)
+    number = {c: names[i] for i, c in enumerate(documents.columns)}
+    own_id, own_hash = F.col(number["doc_id"]).cast("bigint"), F.xxhash64(F.coalesce(number["text"], F.lit("")))
+    rows = rows.select(*names, own_id.alias("own_id"), own_hash.alias("own_hash"))
+    kept = rows.join(stays, rows["own_id"].eqNullSafe(stays["stays_id"]) & (rows["own_hash"] == stays["stays_hash"]), "left_semi")
+    return kept.dropDuplicates(["own_id", "own_hash"]).select(*names).toDF(*documents.columns)

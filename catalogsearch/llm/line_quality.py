@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 MIN_WORDS = 50
 REPEATED_PERCENT = 50
 MIN_DOCUMENTS = 20
@@ -120,10 +122,22 @@ def quality_rules(documents: DataFrame) -> DataFrame:
     each = removed.groupBy("doc_id", "text_hash", "host", "place").agg(F.max("size").alias("size"), F.max("total").alias("total"))
     lost = each.groupBy("doc_id", "text_hash", "host").agg(F.sum("size").alias("removed_chars"), F.max("total").alias("total"))
     lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), F.col("host").alias("lost_host"), "removed_chars", "total")
-    rules = text_rules(keyed).drop("text")
+    # Written, as a filter on a rule would else be pushed into the array functions and compute them for each element.
+    rules = written(text_rules(keyed).drop("text"), "rules")
     same = rules["doc_id"].eqNullSafe(lost["lost_id"]) & (rules["text_hash"] == lost["lost_hash"]) & (rules["host"] == lost["lost_host"])
     depleted = F.coalesce(F.col("removed_chars") > DEPLETED * F.col("total"), F.lit(False))
     return rules.join(lost, same, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("removed_chars", F.lit(0)).cast("bigint").alias("removed_chars"), "text_hash",
+        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("removed_chars", F.lit(0)).cast("bigint").alias("removed_chars"), "text_hash", "host",
     )
+
+
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """The rows of `documents(doc_id, text, source, ...)` that the rules keep, unchanged."""
+    names = [f"c{i}" for i in range(len(documents.columns))]  # whatever the columns are called
+    number = {c: names[i] for i, c in enumerate(documents.columns)}
+    own = [F.col(number["doc_id"]).cast("bigint"), F.xxhash64(F.coalesce(number["text"], F.lit(""))), F.coalesce(F.col(number["source"]).cast("string"), F.lit(""))]
+    rows = documents.toDF(*names).select(*names, *[c.alias(n) for c, n in zip(own, ("own_id", "own_hash", "own_host"), strict=True)])
+    judged = quality_rules(documents).filter("kept").select("doc_id", "text_hash", "host")
+    same = rows["own_id"].eqNullSafe(judged["doc_id"]) & (rows["own_hash"] == judged["text_hash"]) & (rows["own_host"] == judged["host"])
+    return rows.join(judged, same, "left_semi").select(*names).toDF(*documents.columns)

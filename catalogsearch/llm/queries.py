@@ -10,10 +10,12 @@ from .byte_bpe import bpe_round_trip
 from .chunk_dedup import remove_repeats
 from .jaccard_join import jaccard_join
 from .line_quality import quality_rules
+from .nearest import nearest_neighbours
 from .packing import pack_documents
 from .shared import shared_path, table
 from .substring_dedup import remove_substrings
 from .token_files import token_digests, write_tokens
+from .toxicity import toxicity
 from .url_filter import Rule, canonical, filter_urls, host_and_path
 
 RULES = [Rule.of("allow", "org/"), Rule.of("block", "example.org/es/"), Rule.of("block", "example.org/en/1"), Rule.of("allow", "com/fr/"), Rule.of("block", "com/de/")]
@@ -36,7 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents")).drop("node")
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("group_key", "text_hash")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +54,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash", "host")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,4 +64,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, listed, RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_substring_dedup, op3_packing, op4_jaccard_join, op6_chunk_dedup, op7_byte_bpe, op8_line_quality, op9_url_filter)}
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_substring_dedup, op3_packing, op4_jaccard_join, op5_toxicity, op6_chunk_dedup, op7_byte_bpe, op8_line_quality, op9_url_filter, op10_nearest)}
