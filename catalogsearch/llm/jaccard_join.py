@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bloom_blocks, with_possible
 from .components import connected_components
 from .hashing import ByteHasher, mix, powers, shingles, word_bounds
 from .shared import kept_by_worker, written
@@ -110,10 +111,16 @@ def signed(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _ties(classes: DataFrame) -> DataFrame:
-    """Each class tied to the smallest class of every trie node that it shares."""
+    """Each class tied to its smallest hub, and its other hubs too; the hub of a trie node is its smallest class.
+
+    A class has at most one hub for each tree, and classes that meet often share their hubs, so ties are few.
+    """
     places = classes.select("node", F.posexplode("paths").alias("tree", "path"))
     shared = places.groupBy("tree", "path").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return places.join(shared, ["tree", "path"]).filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    met = places.join(written(shared, "hubs"), ["tree", "path"]).groupBy("node").agg(F.collect_set("hub").alias("hubs"))
+    first = F.array_min("hubs")
+    ties = met.select(F.col("node").alias("a"), first.alias("b")).union(met.select(F.explode("hubs").alias("a"), first.alias("b")))
+    return ties.filter("a <> b").distinct()
 
 
 def _groups(members: DataFrame, threshold: float) -> DataFrame:
@@ -213,8 +220,8 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     members = connected_components(_ties(classes)).join(classes.select("node", "n_shingles", "copy_of"), "node")
     members = written(members, "members")
     groups = _groups(members, threshold).join(members.select("node", "copy_of"), "node")
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("copy_of"), "text").join(members.select("copy_of").distinct(), "copy_of", "left_semi")
-    found = groups.join(texts, "copy_of").drop("copy_of").groupBy("part").applyInPandas(_verify(threshold), "node binary, links bigint, a binary")
+    texts = with_possible(documents.select(F.col("doc_id").cast("bigint").alias("copy_of"), "text"), "copy_of", bloom_blocks(members, "copy_of"))
+    found = groups.join(texts.filter("possible").drop("possible"), "copy_of").drop("copy_of").groupBy("part").applyInPandas(_verify(threshold), "node binary, links bigint, a binary")
     found = written(found, "found")
     chains = connected_components(found.filter("a <> node").select("a", F.col("node").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))

@@ -1,10 +1,9 @@
 """Operator 9: URL filter by rules, a blocked Bloom filter and an exact hash join, in DataFrame functions alone.
 
 The canonical form of a URL is its host without a leading `www.` and its path without a last `/` or `.html`; scheme, query
-and fragment are left out. Every listed canonical URL sets eight bits in one block of 256 bits, chosen by its hash. The
-filter has a fixed number of blocks, so its size is bounded (`BLOCKS` x 40 bytes) and it is broadcast; pages whose bits are
-all set are possible hits and go to an exact join with the list, which removes false positives. A longer list makes more
-possible hits, never a wrong verdict. Pages without a hit are never shuffled.
+and fragment are left out. The blocked Bloom filter of the listed canonical URLs (`bloom.py`) has a bounded size and is
+broadcast; pages that it may hold are possible hits and go to an exact join with the list, which removes false positives.
+A longer list makes more possible hits, never a wrong verdict. Pages without a hit are never shuffled.
 
 Rules decide first: the longest that fits, else whether the canonical URL is listed.
 
@@ -19,7 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS = 1 << 16
+from .bloom import BLOCKS, bloom_blocks, with_possible
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -58,38 +58,16 @@ def canonical(host: Column, path: Column) -> Column:
     return F.when(host != "", F.concat(F.regexp_replace(host, r"^www\.", ""), short))
 
 
-def _bits(name: str) -> list[Column]:
-    """Four words of 64 bits, two bits each, from a hash of their own."""
-    places = [F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({name}, 'bits'), {6 * j}) & 63 as int))") for j in range(8)]
-    return [places[2 * j].bitwiseOR(places[2 * j + 1]).alias(f"bits{j}") for j in range(4)]
-
-
-def _block(name: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(blocks)).alias("block")
-
-
-def bloom_blocks(listed: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The filter's blocks that are not empty, for `listed(canonical)`."""
-    marked = listed.filter("canonical IS NOT NULL").select(_block("canonical", blocks), *_bits("canonical"))
-    return marked.groupBy("block").agg(*[F.bit_or(f"bits{j}").alias(f"set{j}") for j in range(4)])
-
-
 def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], blocks: int = BLOCKS) -> DataFrame:
     """`page_id, host, path, rule, verdict, listed` of every page, for `pages(page_id, url)` and `listed(canonical)`."""
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     parsed = parsed.withColumn("canonical", canonical(F.col("host"), F.col("path")))
-    hashed = parsed.select("*", _block("canonical", blocks), *_bits("canonical"))
-    bloom = F.broadcast(bloom_blocks(listed, blocks))  # at most `blocks` rows of 40 bytes
-    probed = hashed.join(bloom, "block", "left")
-    hit = F.lit(True)
-    for j in range(4):
-        hit = hit & (F.col(f"bits{j}").bitwiseAND(F.col(f"set{j}")) == F.col(f"bits{j}"))
+    probed = with_possible(parsed, "canonical", bloom_blocks(listed, "canonical", blocks), blocks)
     columns = ["page_id", "host", "path", "canonical"]
-    possible = F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False))
     distinct = listed.filter("canonical IS NOT NULL").select("canonical").distinct().withColumn("found", F.lit(True))
-    hits = probed.filter(possible).select(*columns).join(distinct, "canonical", "left").select(*columns, F.coalesce("found", F.lit(False)).alias("listed"))
-    misses = probed.filter(~possible).select(*columns, F.lit(False).alias("listed"))
+    hits = probed.filter("possible").select(*columns).join(distinct, "canonical", "left").select(*columns, F.coalesce("found", F.lit(False)).alias("listed"))
+    misses = probed.filter("NOT possible").select(*columns, F.lit(False).alias("listed"))
     rule, verdict = F.lit(None).cast("string"), F.when(F.col("listed"), "block").otherwise("allow")
     for r in sorted(rules, key=lambda r: (len(r.text), len(r.host), r.text)):  # the longest comes last and is asked first
         fits = r.fits(F.col("host"), F.col("path"))
