@@ -8,7 +8,8 @@ How many leaves to visit is calibrated: for up to `CALIBRATION` queries the exac
 and visits are widened until the share of neighbours in visited leaves reaches `RECALL`. Every query then visits so many.
 
 A leaf's vectors are cut into blocks by hash, and its queries too, so a frequent vector or query makes more groups, not a
-larger one. A group gives each of its queries its best `k`; the best of all groups are ranked by score and vec_id.
+larger one. A group gives each of its queries its best `k`. The first `FIRST` leaves of a query set a bound, the score of its k-th
+best there; later leaves give only what reaches it. The best of all groups are ranked by score and vec_id.
 
 Scores are sums of double products in the order of the components, so equal vectors have equal scores.
 
@@ -37,6 +38,7 @@ SAMPLE_VALUES = 2_000_000
 CALIBRATION = 200
 RECALL = 0.97
 ROUNDS = 8
+FIRST = 4
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 1024
 
@@ -134,8 +136,8 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of `query_id, vec_id, score`: each query's k best of these vectors."""
+def best(query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of `query_id, vec_id, score`: each query's k best of these vectors, if they reach the query's bound."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
     for first in range(0, len(queries), 256):
@@ -144,9 +146,9 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
         scores[some[:, None] == ids[None, :]] = -np.inf
         n = min(k, len(ids))
         if n < len(ids):
-            bound = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+            bound = np.maximum(bounds[first : first + 256], -np.partition(-scores, n - 1, axis=1)[:, n - 1])
         else:
-            bound = np.full(len(some), -np.inf)
+            bound = bounds[first : first + 256]
         rows, places = np.nonzero((scores >= bound[:, None]) & (scores > -np.inf))
         by = np.lexsort((places, -scores[rows, places], rows))  # places ascend with the ids
         rows, places = rows[by], places[by]
@@ -189,7 +191,7 @@ def exact_neighbours(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndar
         for batch in batches:
             for first in range(0, batch.num_rows, BLOCK_ROWS):
                 some = batch.slice(first, BLOCK_ROWS)
-                for found in best(query_ids, queries, some["vec_id"].to_numpy(), _matrix(some["vector"], dimension), k):
+                for found in best(query_ids, queries, np.full(len(queries), -np.inf), some["vec_id"].to_numpy(), _matrix(some["vector"], dimension), k):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
 
     return _rank(vectors.select("vec_id", "vector").mapInArrow(run, FOUND), k)
@@ -239,6 +241,30 @@ def calibrate(tree: Tree, indexed: DataFrame, queries: DataFrame, k: int, target
     return min(visits, len(tree.leaves))
 
 
+def _visit(asked: DataFrame, indexed: DataFrame, dimension: int, k: int) -> DataFrame:
+    """What the queries of `asked(vec_id, vector, bound, leaf)` find in the leaves that they visit."""
+    row_blocks = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
+    query_blocks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
+    blocks = F.broadcast(row_blocks.join(query_blocks, "leaf"))  # a row for each leaf; the sample bounds their number
+    key = ["leaf", "row_block", "query_block"]
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in one block of its own kind, with every block of the other kind."""
+        cut = rows.join(blocks, "leaf").withColumn(own, F.pmod(F.xxhash64("vec_id", "vector"), F.col(f"{own}s")).cast("int"))
+        return cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).select(*key, *[c for c in rows.columns if c != "leaf"]).groupBy(*key)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        if left.num_rows and right.num_rows:
+            a, b = left.combine_chunks(), right.combine_chunks()
+            points, vectors = (_matrix(x["vector"].combine_chunks(), dimension) for x in (a, b))
+            for found in best(a["vec_id"].to_numpy(), points, a["bound"].to_numpy(), b["vec_id"].to_numpy(), vectors, k):
+                parts.append(pa.table([pa.array(x) for x in found], names=["query_id", "vec_id", "score"]))
+        return pa.concat_tables(parts) if parts else pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+
+    return dealt(asked, "query_block", "row_block").cogroup(dealt(indexed, "row_block", "query_block")).applyInArrow(meet, FOUND)
+
+
 def search(queries: DataFrame, vectors: DataFrame, k: int = 20, target: float = RECALL) -> DataFrame:
     """`query_id, rank, vec_id, score` of the nearest k found, for `queries` and `vectors(vec_id, vector)`."""
     tree = fit_tree(vectors)
@@ -256,29 +282,14 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, target: float =
                 leaves = pa.array([tree.best_bins(q, visits) for q in _matrix(some["vector"], dimension)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([some["vec_id"], some["vector"], leaves], ["vec_id", "vector", "leaves"])
 
-    asked = queries.select("vec_id", "vector").mapInArrow(bins, "vec_id bigint, vector array<double>, leaves array<bigint>")
-    asked = written(asked, "asked").select("vec_id", "vector", F.explode("leaves").alias("leaf"))
-    row_blocks = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
-    query_blocks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
-    blocks = F.broadcast(row_blocks.join(query_blocks, "leaf"))  # a row for each leaf; the sample bounds their number
-
-    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
-        """Each row in one block of its own kind, with every block of the other kind."""
-        cut = rows.join(blocks, "leaf").withColumn(own, F.pmod(F.xxhash64("vec_id", "vector"), F.col(f"{own}s")).cast("int"))
-        return cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).select("leaf", "row_block", "query_block", "vec_id", "vector")
-
-    key = ["leaf", "row_block", "query_block"]
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        if left.num_rows and right.num_rows:
-            a, b = left.combine_chunks(), right.combine_chunks()
-            ids, points = a["vec_id"].to_numpy(), _matrix(a["vector"].combine_chunks(), dimension)
-            for found in best(ids, points, b["vec_id"].to_numpy(), _matrix(b["vector"].combine_chunks(), dimension), k):
-                parts.append(pa.table([pa.array(x) for x in found], names=["query_id", "vec_id", "score"]))
-        return pa.concat_tables(parts) if parts else pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-
-    found = dealt(asked, "query_block", "row_block").groupBy(*key).cogroup(dealt(indexed, "row_block", "query_block").groupBy(*key)).applyInArrow(meet, FOUND)
+    asked = written(queries.select("vec_id", "vector").mapInArrow(bins, "vec_id bigint, vector array<double>, leaves array<bigint>"), "asked")
+    early = asked.select("vec_id", "vector", F.lit(float("-inf")).alias("bound"), F.explode(F.slice("leaves", 1, FIRST)).alias("leaf"))
+    first = written(_rank(_visit(early, indexed, dimension, k), k), "first")
+    if visits <= FIRST:
+        return first.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    bounds = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
+    late = asked.join(bounds, "vec_id", "left").select("vec_id", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"), F.explode(F.slice("leaves", FIRST + 1, visits)).alias("leaf"))
+    found = first.drop("rank").unionByName(_visit(late, indexed, dimension, k))
     return _rank(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
