@@ -125,7 +125,8 @@ def initial_items(texts: DataFrame) -> DataFrame:
 def _round(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One round: windows that repeat, as `doc_id, tie, start, more`, and one item of each context that goes on."""
     buckets = items.groupBy("key").agg(F.count("*").alias("n"), F.min("ext").alias("low"), F.max("ext").alias("high")).filter("n > 1")
-    held = written(items.join(buckets.select("key", (F.col("low") == F.col("high")).alias("done")), "key"), "buckets")
+    buckets = written(buckets.select("key", (F.col("low") == F.col("high")).alias("done")), "buckets")  # so that the join can split a hot key
+    held = written(items.join(buckets, "key"), "held")
     places = ["doc_id", "tie", "start", "more"]
     going = held.filter("NOT done")
     counted = written(going.groupBy("key", "ext").agg(F.count("*").alias("n"), F.min(F.struct(*[c for c in going.columns if c not in ("key", "ext", "done")])).alias("one")), "contexts")
