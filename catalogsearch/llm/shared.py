@@ -42,11 +42,14 @@ def by_rows(function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], rows
 
 
 def kept_by_worker(key: tuple, make: Callable[[], object]):
-    """What a Python worker makes once and keeps between tasks.
+    """What a Python worker makes once and keeps between tasks: one thing at a time.
 
-    Functions of this package travel by value, so their own module's globals are new in each task; this is not.
+    Functions of this package travel by value, so their own module's globals are new in each task; this is not. A worker
+    outlives its stage, so what an earlier operator kept, such as a tokenizer's cache, is dropped here.
     """
     place = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
-    if key not in place.__dict__.setdefault("things", {}):
-        place.things[key] = make()
-    return place.things[key]
+    if place.__dict__.get("key") != key:
+        place.key = place.thing = None
+        place.thing = make()
+        place.key = key
+    return place.thing

@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import kept_by_worker, written
 
 SAMPLE = 20_000
 TERMS = 400
@@ -89,14 +89,18 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
 
 
 def with_features(documents: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """`documents(doc_id, text, ...)` with the features in place of the text."""
+    """`documents(doc_id, text, ...)` with the features in place of the text; or `documents(row)`, whose field `text` has
+    the text, with the features beside it."""
     others = [f for f in documents.schema.fields if f.name != "text"]
+    nested = documents.columns == ["row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker(("toxicity",), dict)
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 some = batch.slice(first, 512)
-                rows = [features(t or "", lexicon) for t in some["text"].to_pylist()]
+                texts = some["row"].field("text") if nested else some["text"]
+                rows = [features(t or "", lexicon) for t in texts.to_pylist()]
                 columns = [pa.array(c, pa.float64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[some[f.name] for f in others], *columns], [*[f.name for f in others], *FEATURES])
 
@@ -111,9 +115,9 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for some in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             toxic, all_ = Counter(), Counter()
-            for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
+            for text, label in zip(some["text"].to_pylist(), some["toxic"].to_pylist(), strict=True):
                 found = terms_of(WORD.findall((text or "").lower()))
                 all_.update(found)
                 if label:
@@ -191,5 +195,5 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `documents(doc_id, text, ...)` with a score under the threshold, unchanged."""
     model = ToxicityModel.fit(documents, labels)
-    rows = documents.select("text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     return model.score(rows).filter(F.col("score") < THRESHOLD).select("row.*")
