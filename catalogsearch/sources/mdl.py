@@ -256,32 +256,54 @@ def read_mdl(spark: SparkSession, path: str, whole_files: bool = False) -> DataF
     return reader.text(path).select("project_id", F.col("value").alias("mdl"))
 
 
-def is_mdl(text: Column) -> Column:
-    """Whether the text is a JSON object."""
-    shape = F.schema_of_variant(F.try_parse_json(text))
-    return F.coalesce(shape.startswith("OBJECT"), F.lit(False))
+#: Spark's JSON reader else refuses strings of more than 20 million characters.
+READ_ALL = {"maxStringLen": "2147483647"}
+#: Each list as raw JSON text, so that its JSON type shows, and the text itself if it is broken.
+_SHAPE = ",".join(f"{name} string" for name in LISTS) + ",part string,broken string"
+_FLAG = r'(?<!\\)("(?:isCalculated|notNull|isHidden)"\s*:\s*)'
+_FALSY = _FLAG + r'(?:-?0+(?:\.0+)?(?:[eE][+-]?\d+)?|"")(?=[\s,}])'
+_TRUTHY = _FLAG + r'(?:-?\d[\d.eE+-]*|"(?:[^"\\]|\\.)+")(?=[\s,}])'
+
+
+def _plain_flags(text: Column) -> Column:
+    """Flags given as numbers or strings become booleans by truthiness, as 1 for true."""
+    plain = F.regexp_replace(F.regexp_replace(text, _FALSY, "$1false"), _TRUTHY, "$1true")
+    return F.when(text.rlike(_FLAG + r'[-0-9"]'), plain).otherwise(text)
+
+
+def reject_reason(text: Column, shape: Column) -> Column:
+    """Why a text, with its parsed shape, is no MDL document; null if it is one."""
+    reason = F.when(
+        text.isNull() | ~F.coalesce(text.rlike(r"^\s*\{"), F.lit(False)) | shape.isNull() | shape["broken"].isNotNull(),
+        "no JSON object",
+    )
+    for name in LISTS:
+        reason = reason.when(shape[name].isNotNull() & ~shape[name].startswith("["), f"{name} is no list")
+    return reason
 
 
 def validate_mdl(documents: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Parse documents `(project_id, mdl)` to MDL rows and rejects.
+    """Parse documents `(project_id, mdl)` to MDL rows and rejects, which carry a `reason`.
 
-    Missing and null lists become empty. Text that is no JSON object goes to the rejects, or
-    fails the job with `strict`. A project with several documents numbers them by `part`.
+    Missing and null lists become empty. Text that is no JSON object, or has another value in place
+    of a list, goes to the rejects, or fails the job with `strict`. Documents may be of any size that
+    a row can hold. A project with several documents numbers them by `part`.
     """
-    part = F.coalesce(F.get_json_object("mdl", "$.part").try_cast("int"), F.lit(0))
-    documents = documents.withColumn("part_no", part)
-    valid = is_mdl(F.col("mdl"))
+    options = READ_ALL | {"columnNameOfCorruptRecord": "broken"}
+    shaped = documents.withColumn("shape", F.from_json("mdl", _SHAPE, options))
+    judged = shaped.select(
+        *documents.columns,
+        F.coalesce(F.col("shape.part").try_cast("int"), F.lit(0)).alias("part_no"),
+        reject_reason(F.col("mdl"), F.col("shape")).alias("reason"),
+    )
+    valid = F.col("reason").isNull()
     if strict:
-        valid = F.when(valid, True).otherwise(
-            F.raise_error(F.concat(F.lit("invalid MDL JSON in project "), F.coalesce("project_id", F.lit("")))).cast(
-                "boolean"
-            )
-        )
-    parsed = documents.where(valid).select("project_id", "part_no", F.from_json("mdl", MDL).alias("m"))
+        message = F.concat(F.lit("invalid MDL JSON in project "), F.coalesce("project_id", F.lit("")))
+        valid = F.when(valid, True).otherwise(F.raise_error(message).cast("boolean"))
+    parsed = judged.where(valid).select("project_id", "part_no", F.from_json(_plain_flags(F.col("mdl")), MDL, READ_ALL).alias("m"))
     rows = parsed.select(
         "project_id",
         "part_no",
         *[F.coalesce(F.col(f"m.{name}"), empty_list(element)).alias(name) for name, element in LISTS.items()],
     )
-    rejects = documents.where(~is_mdl(F.col("mdl"))).select("project_id", "part_no", "mdl")
-    return rows, rejects
+    return rows, judged.where(F.col("reason").isNotNull()).select("project_id", "part_no", "mdl", "reason")

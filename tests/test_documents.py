@@ -259,3 +259,24 @@ def test_assembling_edge_cases(spark):
     ).withColumn("content", F.from_json("c", CONTENT))
     got = assemble(frame).collect()
     assert [(r["name"], r["header"]["comment"], len(r["commands"])) for r in got] == [("two", "new", 1)]
+
+
+def test_malformed_lists_and_truthy_flags(spark):
+    column = {"name": "c", "type": "int", "isCalculated": 1, "notNull": 0, "isHidden": "", "expression": 'say "isHidden": 1'}
+    rows, rejects = mdl_rows(spark, '{"models":"oops"}', '{"views":{"a":1}}', '{"metrics":3}', json.dumps({"models": [{"name": "m", "columns": [column]}]}), '{"models":[')
+    assert sorted((r["project_id"], r["reason"]) for r in rejects.collect()) == [
+        ("p0", "models is no list"), ("p1", "views is no list"), ("p2", "metrics is no list"), ("p4", "no JSON object"),
+    ]
+    [row] = rows.collect()
+    got = row["models"][0]["columns"][0]
+    assert (got["isCalculated"], got["notNull"], got["isHidden"], got["expression"]) == (True, False, False, 'say "isHidden": 1')
+
+
+def test_large_documents_are_valid(spark):
+    big = spark.range(1).select(
+        F.lit("p").alias("project_id"),
+        F.concat(F.lit('{"views":[{"name":"v","statement":"'), F.repeat(F.lit("x"), 30_000_000), F.lit('"},{"name":"w","statement":"'), F.repeat(F.lit("y"), 110_000_000), F.lit('"}]}')).alias("mdl"),
+    )
+    rows, rejects = validate_mdl(big)
+    assert rejects.count() == 0
+    assert [tuple(r) for r in rows.select(F.explode("views").alias("v")).select("v.name", F.length("v.statement")).collect()] == [("v", 30_000_000), ("w", 110_000_000)]

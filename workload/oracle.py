@@ -253,6 +253,17 @@ description AS (
         UNION ALL SELECT project_id, name, 2, pos, 'views', description, '' FROM vw))
 """
 
+ORACLE["m1_malformed_lists"] = """
+SELECT 'list_' || event_id AS project_id,
+  CASE WHEN props IS NULL THEN 'no JSON object' WHEN json_type(props::JSON) IN ('ARRAY', 'NULL') THEN 'accepted' ELSE 'models is no list' END AS reason,
+  0 AS n_views FROM events
+UNION ALL
+SELECT 'view_' || event_id, CASE WHEN props IS NULL OR event_type IS NULL THEN 'no JSON object' ELSE 'accepted' END,
+  CASE WHEN props IS NULL OR event_type IS NULL THEN 0 ELSE 1 END FROM events
+UNION ALL
+SELECT 'text_' || doc_id, CASE WHEN text IS NULL THEN 'accepted' WHEN text LIKE '[%' THEN 'accepted' ELSE 'metrics is no list' END, 0 FROM documents
+"""
+
 ORACLE["m1_validate_mdl"] = (
     MODELS
     + """

@@ -136,6 +136,30 @@ def m1_validate_mdl(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def m1_malformed_lists(spark: SparkSession, sf: str) -> DataFrame:
+    events, texts = b.table(spark, sf, "events"), b.table(spark, sf, "documents")
+    documents_ = (
+        events.select(
+            F.concat(F.lit("list_"), "event_id").alias("project_id"), F.concat(F.lit('{"models":'), "props", F.lit("}")).alias("mdl")
+        )
+        .unionByName(
+            events.select(
+                F.concat(F.lit("view_"), "event_id").alias("project_id"),
+                F.concat(F.lit('{"views":[{"name":"'), "event_type", F.lit('","statement":'), "props", F.lit("}]}")).alias("mdl"),
+            )
+        )
+        .unionByName(
+            texts.select(
+                F.concat(F.lit("text_"), "doc_id").alias("project_id"), F.to_json(F.struct(F.col("text").alias("metrics"))).alias("mdl")
+            )
+        )
+    )
+    rows, rejects = mdl_source.validate_mdl(documents_)
+    accepted = rows.select("project_id", F.lit("accepted").alias("reason"), F.size("views").alias("n_views"))
+    return accepted.unionByName(rejects.select("project_id", "reason", F.lit(0).alias("n_views")))
+
+
 @query
 def m2_visible_columns(spark: SparkSession, sf: str) -> DataFrame:
     models = documents.preprocess_models(b.mdl(spark, sf))
