@@ -292,7 +292,8 @@ def validate_mdl(documents: DataFrame, strict: bool = False) -> tuple[DataFrame,
     options = READ_ALL | {"columnNameOfCorruptRecord": "broken"}
     shaped = documents.withColumn("shape", F.from_json("mdl", _SHAPE, options))
     judged = shaped.select(
-        *documents.columns,
+        "project_id",
+        "mdl",
         F.coalesce(F.col("shape.part").try_cast("int"), F.lit(0)).alias("part_no"),
         reject_reason(F.col("mdl"), F.col("shape")).alias("reason"),
     )
