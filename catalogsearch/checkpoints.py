@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,8 @@ def checkpoint_folder(session: SparkSession) -> str:
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """The DataFrame, computed once and written to the checkpoint folder."""
-    checkpoint_folder(frame.sparkSession)
-    return frame.checkpoint()
+    """The DataFrame, computed once and written to the checkpoint folder as Parquet, so that readers prune columns."""
+    session = frame.sparkSession
+    path = f"{checkpoint_folder(session)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return session.read.schema(frame.schema).parquet(path)
