@@ -23,8 +23,10 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 CUT = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
-#: A space after white space, or at the end: a cut at every space would part a run of white space.
-UNSAFE = re.compile(f"[{WHITE}] | \\Z")
+#: White space before a space: a cut at every space would part the run.
+RUNS = [chr(c) + " " for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c))]
+ASCII_RUNS = [r for r in RUNS if r.isascii()]
+OTHER_RUNS = [r for r in RUNS if not r.isascii()]
 ONE_SPACE = re.compile(f" [^ ]*[^{WHITE}]")
 PLAIN_WORD = re.compile(f"[{LETTERS}]+[.,]?")
 
@@ -34,6 +36,11 @@ MISSES = 2048
 BLOCK_CHARS = 1 << 21
 
 
+def parts_runs(text: str) -> bool:
+    """Whether a cut at every space parts a run of white space, or leaves one at the end."""
+    return text.endswith(" ") or any(r in text for r in ASCII_RUNS) or (not text.isascii() and any(r in text for r in OTHER_RUNS))
+
+
 def blocks(text: str, size: int = BLOCK_CHARS) -> Iterator[str]:
     """The text in parts of about that size, each cut before white space."""
     start = 0
@@ -97,7 +104,7 @@ class PieceEncoder:
         if not self.spaces:
             parts = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
             return self._gather(parts.flatten(), parts.offsets.to_numpy())
-        odd = [i for i, t in enumerate(texts) if UNSAFE.search(t)]
+        odd = [i for i, t in enumerate(texts) if parts_runs(t)]
         if odd:
             out: list[bytes] = [b""] * len(texts)
             for i, ids in zip(odd, self._careful([texts[i] for i in odd]), strict=True):
