@@ -145,34 +145,43 @@ def _scan_hits(questions: pa.Table, queries: DataFrame, documents: DataFrame, k:
 def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options: Options) -> DataFrame:
     """Both sides in blocks of bounded size that meet by an equi-join on scope and document group.
 
-    The scope is the project of a question, or `*` for questions over all projects. A scope has
-    as many document groups as its size asks for, so a large project is many join keys.
+    A scope is one project, or everywhere for questions over all projects. It has as many document
+    groups as its size asks for. Sizes reach the documents by a salted join, so that documents are
+    never shuffled by their scope alone.
     """
-    scope = F.coalesce("project_id", F.lit("*"))
-    asked = queries.select("query_id", scope.alias("scope"), "embedding")
-    scopes = asked.select("scope").distinct()
-    scoped = documents.select(
-        "id", "embedding", F.explode(F.array_compact(F.array("project_id", F.lit("*")))).alias("scope")
-    ).join(scopes, "scope", "left_semi")
+    scope = ["everywhere", "project"]
+    asked = queries.select(
+        "query_id",
+        F.col("project_id").isNull().alias("everywhere"),
+        F.coalesce("project_id", F.lit("")).alias("project"),
+        "embedding",
+    )
+    own = F.struct(F.lit(False).alias("everywhere"), F.col("project_id").alias("project"))
+    all_projects = F.struct(F.lit(True).alias("everywhere"), F.lit("").alias("project"))
+    listed = F.array_compact(F.array(F.when(F.col("project_id").isNotNull(), own), all_projects))
+    scoped = documents.select("id", "embedding", F.inline(listed))
 
     def sized(frame: DataFrame, block: int, name: str) -> DataFrame:
-        return frame.groupBy("scope").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+        return frame.groupBy(*scope).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
-    doc_groups = sized(scoped, options.doc_block, "n_groups")
     query_groups = sized(asked, options.query_block, "n_blocks")
+    doc_groups = sized(scoped, options.doc_block, "n_groups").join(query_groups.select(*scope), scope, "left_semi")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     docs = (
-        scoped.join(doc_groups, "scope")
-        .withColumn("doc_group", F.pmod(F.xxhash64("id"), F.col("n_groups")).cast("int"))
-        .groupBy("scope", "doc_group")
+        scoped.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+        .join(doc_groups.select("*", salts), [*scope, "salt"])
+        .withColumn("doc_group", F.pmod(F.xxhash64("id", F.lit("group")), F.col("n_groups")).cast("int"))
+        .groupBy(*scope, "doc_group")
         .agg(F.collect_list(F.struct("id", "embedding")).alias("docs"))
     )
     blocks = (
-        asked.join(query_groups, "scope")
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("n_blocks")))
-        .groupBy("scope", "block")
+        asked.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
+        .join(query_groups.select("*", salts), [*scope, "salt"])
+        .withColumn("block", F.pmod(F.xxhash64("query_id", F.lit("block")), F.col("n_blocks")))
+        .groupBy(*scope, "block")
         .agg(F.collect_list(F.struct("query_id", "embedding")).alias("questions"))
-        .join(doc_groups, "scope")
-        .select("scope", "questions", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("doc_group"))
+        .join(doc_groups, scope)
+        .select(*scope, "questions", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("doc_group"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +202,7 @@ def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options:
                     }
                 ).to_batches()
 
-    pairs = docs.join(blocks, ["scope", "doc_group"]).select("questions", "docs")
+    pairs = docs.join(blocks, [*scope, "doc_group"]).select("questions", "docs")
     return pairs.mapInArrow(run, _hit_schema(queries, documents))
 
 

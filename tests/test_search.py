@@ -1,6 +1,7 @@
 """Exact nearest neighbours."""
 
 import dataclasses
+import re
 
 import numpy as np
 import pytest
@@ -40,9 +41,9 @@ def fixture(n_docs=60, n_queries=9):
     vectors = rng.integers(-2, 3, size=(n_docs, 3)).astype(float)
     docs = [(f"d{i:03d}", "hot" if i % 3 else f"p{i % 4}", v.tolist()) for i, v in enumerate(vectors)]
     docs += [("null", "hot", None), ("zero", "hot", [0.0, 0.0, 0.0]), ("hole", "hot", [1.0, None, 0.0])]
-    docs += [("none", None, [1.0, 1.0, 1.0])]
+    docs += [("none", None, [1.0, 1.0, 1.0]), ("star", "*", [1.0, 1.0, 2.0])]
     queries = [
-        (f"q{i}", ["hot", None, "p0", "", "absent"][i % 5], rng.normal(size=3).astype(np.float32).tolist())
+        (f"q{i}", ["hot", None, "p0", "", "absent", "*"][i % 6], rng.normal(size=3).astype(np.float32).tolist())
         for i in range(n_queries)
     ]
     queries += [("blank", None, None), ("zero", "p0", [0.0, 0.0, 0.0])]
@@ -132,3 +133,20 @@ def test_hot_key_is_cut_before_it_meets(spark, k):
     for r in got.orderBy("rank").collect():
         found.setdefault(r["key"], []).append(r["id"])
     assert found == {key: ids[:k] for key, ids in expected.items()}
+
+
+def test_blocks_never_shuffle_documents_by_scope_alone(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        queries, docs = fixture()
+        hits = nearest_documents(spark.createDataFrame(queries, QUERY), spark.createDataFrame(docs, DOC), 4, BLOCKS)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["query_id"], r["id"], r["rank"]) for r in hits.collect()) == brute(queries, docs, 4)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    by_scope = [i for i, line in enumerate(lines) if re.search(r"hashpartitioning\(everywhere#\d+, project#\d+, \d+\)", line)]
+    assert by_scope and any("salt#" in line for line in lines if "hashpartitioning" in line)
+    for i in by_scope:  # what lies directly under these are counts or blocks, never rows with a vector
+        assert "embedding" not in lines[i + 1] or "collect_list" in lines[i + 1], lines[i + 1]

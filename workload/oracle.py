@@ -443,10 +443,18 @@ ORACLE["r3_tables_by_name"] = (
 ORACLE["r4_schema_chunks"] = (
     MODELS
     + ASKED
-    + """SELECT query_id, project_id, name, pos, kind, chunk_no,
+    + """SELECT query_id, project_id, name, pos, kind, chunk_no, truncated,
                 (row_number() OVER (PARTITION BY query_id ORDER BY pos, kind, chunk_no))::INT AS rank
-         FROM asked JOIN doc USING (project_id, name) QUALIFY rank <= 3"""
-)
+         FROM (SELECT *, kind = 1 OR nth = 1 OR counted <= 3 AS kept, bool_or(NOT kept) OVER (PARTITION BY query_id) AS truncated
+         FROM (SELECT *, row_number() OVER (PARTITION BY query_id, project_id, name, kind ORDER BY pos, chunk_no) AS nth,
+                      count(*) FILTER (kind = 0) OVER (PARTITION BY query_id ORDER BY pos, kind, chunk_no) AS counted
+               FROM asked JOIN doc USING (project_id, name)))
+         WHERE kept"""
+)
+ORACLE["r4_unscoped_hits"] = f"""
+SELECT DISTINCT query_id, e.label::VARCHAR AS project_id, 't_' || e.vec_id % 7 AS name, e.vec_id AS ord
+FROM ({nearest('true', 10)}) JOIN embeddings h ON h.vec_id = id
+JOIN embeddings e ON e.label = h.label AND e.vec_id % 7 = h.vec_id % 7"""
 ORACLE["r5_parse_meta"] = """
 SELECT 'event' AS source, event_id AS key, len(json_keys(props))::INT AS n_keys, props->>'$.k' AS k FROM events
 UNION ALL SELECT 'document', doc_id, 0, NULL FROM documents WHERE NOT json_valid(text)"""
@@ -607,10 +615,10 @@ dn AS (SELECT id, sqrt(sum(value * value)) AS norm FROM d GROUP BY ALL),
 ranked AS (
     SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(1 - coalesce(dot, 0) / (qn.norm * dn.norm), 12), id) AS rank
     FROM qn CROSS JOIN dn LEFT JOIN dot USING (query_id, id) QUALIFY rank <= 10),
-names AS (SELECT DISTINCT query_id, name FROM ranked JOIN description USING (id)),
+names AS (SELECT DISTINCT query_id, project_id, name FROM ranked JOIN description USING (id)),
 chunks AS (
     SELECT query_id, doc.*, row_number() OVER (PARTITION BY query_id ORDER BY project_id, section, pos, kind, chunk_no) AS rank
-    FROM names JOIN doc USING (name) QUALIFY rank <= 100),
+    FROM names JOIN doc USING (project_id, name)),
 texts AS (
     SELECT query_id, 0 AS section, min(rank) AS place, project_id, name, any_value(table_ddl) AS table_ddl
     FROM chunks JOIN ddl USING (project_id, name) WHERE chunks.section = 0 GROUP BY ALL

@@ -563,7 +563,26 @@ def r4_schema_chunks(spark: SparkSession, sf: str) -> DataFrame:
     options = dataclasses.replace(OPTIONS, chunk_limit=3)
     asked = b.questions_by_name(spark, sf).select("query_id", "project_id", F.explode("tables").alias("name"))
     chunks = lookup.schema_chunks(asked, _stores(spark, sf)[0], options)
-    return chunks.select("query_id", "project_id", "name", "rank", "ord.pos", "ord.kind", "ord.chunk_no")
+    return chunks.select("query_id", "project_id", "name", "rank", "ord.pos", "ord.kind", "ord.chunk_no", "truncated")
+
+
+@query
+def r4_unscoped_hits(spark: SparkSession, sf: str) -> DataFrame:
+    # The same seven names in every project: only the project of a hit tells its chunks from the others.
+    name = F.concat(F.lit("t_"), F.col("id") % 7)
+    tables = _label_tables(spark, sf).withColumn("name", name)
+    chunks = tables.select(
+        "id",
+        "project_id",
+        "name",
+        F.lit("TABLE_SCHEMA").alias("type"),
+        F.struct(F.col("id").alias("pos"), F.lit(0).alias("kind")).alias("ord"),
+        F.lit('{"type":"TABLE_COLUMNS"}').alias("content"),
+    )
+    anywhere = b.centroids(spark, sf).withColumn("project_id", F.lit(None).cast("string"))
+    found = lookup.tables_by_vector(anywhere, tables, OPTIONS)
+    every = dataclasses.replace(OPTIONS, chunk_limit=1_000_000)
+    return lookup.schema_chunks(found, chunks, every).select("query_id", "project_id", "name", F.col("ord.pos").alias("ord"))
 
 
 @query
