@@ -41,6 +41,8 @@ RECALL = 0.9998
 #: A group of verification has at most about so many classes and shingles.
 GROUP_CLASSES = 512
 GROUP_SHINGLES = 400_000
+#: Join keys that a large component is spread over.
+SALTS = 64
 
 SIGNED = "doc_id bigint, text_hash bigint, node binary, n_shingles int, paths array<bigint>"
 
@@ -124,24 +126,25 @@ def _ties(classes: DataFrame) -> DataFrame:
 
 
 def _groups(members: DataFrame, threshold: float) -> DataFrame:
-    """`node, kind, part, side` of each group that a class of `members(node, label, n_shingles)` belongs to.
+    """`node, copy_of, part, side` of each group that a class of `members(node, label, n_shingles, copy_of)` belongs to.
 
     Groups of a small component: all its classes. Of a large one: pairs of blocks; `side` is the block of the pair.
+    Block counts reach the classes by a salted join, so a large component is not one join key.
     """
-    sized = members.withColumn("size_class", F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int"))
-    totals = members.groupBy("label").agg(F.count("*").alias("classes"), F.sum("n_shingles").alias("shingles"))
-    large = (F.col("classes") > GROUP_CLASSES) | (F.col("shingles") > GROUP_SHINGLES)
-    known = sized.join(totals.withColumn("large", large).select("label", "large"), "label")
-    small = known.filter("NOT large").select("node", F.struct("label", *[F.lit(0).alias(c) for c in ("c1", "b1", "c2", "b2")]).alias("part"), F.lit(0).alias("side"))
-    big = known.filter("large").drop("large")
+    size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    sized = members.withColumn("size_class", size_class)
+    by_size = sized.groupBy("label", "size_class").agg(F.count("*").alias("classes"), F.sum("n_shingles").alias("shingles"))
+    totals = by_size.groupBy("label").agg(F.sum("classes").alias("classes"), F.sum("shingles").alias("shingles"))
+    large = totals.filter((F.col("classes") > GROUP_CLASSES) | (F.col("shingles") > GROUP_SHINGLES)).select("label")
     half_classes, half_shingles = GROUP_CLASSES // 2, GROUP_SHINGLES // 2
-    blocks = big.groupBy("label", "size_class").agg(
-        F.greatest(F.ceil(F.count("*") / half_classes), F.ceil(F.sum("n_shingles") / half_shingles)).cast("int").alias("blocks")
-    )
+    n_blocks = F.greatest(F.ceil(F.col("classes") / half_classes), F.ceil(F.col("shingles") / half_shingles)).cast("int")
+    blocks = by_size.join(large, "label", "left_semi").select("label", "size_class", n_blocks.alias("blocks"))
     above = blocks.select("label", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above"))
     below = blocks.select("label", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("below"))
     around = blocks.join(above, ["label", "size_class"], "left").join(below, ["label", "size_class"], "left")
-    placed = big.join(around, ["label", "size_class"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    salted = around.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    placed = sized.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["label", "size_class", "salt"], "left")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
     c, b = F.col("size_class"), F.col("block")
 
     def pairs(n, make):
@@ -153,8 +156,10 @@ def _groups(members: DataFrame, threshold: float) -> DataFrame:
     same = pairs(F.col("blocks"), lambda x: pair(c, F.least(b, x), c, F.greatest(b, x), b > x))
     up = pairs(F.coalesce("above", F.lit(0)), lambda x: pair(c, b, c + 1, x, F.lit(0)))
     down = pairs(F.coalesce("below", F.lit(0)), lambda x: pair(c - 1, x, c, b, F.lit(1)))
-    spread = placed.select("node", "label", F.explode(F.concat(same, up, down)).alias("p"))
-    return small.unionByName(spread.select("node", F.struct("label", "p.c1", "p.b1", "p.c2", "p.b2").alias("part"), "p.side"))
+    none = F.lit(0)
+    parts = F.when(F.col("blocks").isNull(), F.array(pair(none, none, none, none, none))).otherwise(F.concat(same, up, down))
+    spread = placed.select("node", "copy_of", "label", F.explode(parts).alias("p"))
+    return spread.select("node", "copy_of", F.struct("label", "p.c1", "p.b1", "p.c2", "p.b2").alias("part"), "p.side")
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -219,7 +224,7 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     classes = written(classes, "classes")
     members = connected_components(_ties(classes)).join(classes.select("node", "n_shingles", "copy_of"), "node")
     members = written(members, "members")
-    groups = _groups(members, threshold).join(members.select("node", "copy_of"), "node")
+    groups = _groups(members, threshold)
     texts = with_possible(documents.select(F.col("doc_id").cast("bigint").alias("copy_of"), "text"), "copy_of", bloom_blocks(members, "copy_of"))
     found = groups.join(texts.filter("possible").drop("possible"), "copy_of").drop("copy_of").groupBy("part").applyInPandas(_verify(threshold), "node binary, links bigint, a binary")
     found = written(found, "found")
@@ -227,7 +232,7 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     facts = classes.select("node", "copy_of").join(chains, "node", "left").join(links, "node", "left")
     facts = written(facts.select("node", "copy_of", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "facts")
-    firsts = facts.groupBy("label").agg(F.min("copy_of").alias("class_id"))
+    firsts = written(facts.groupBy("label").agg(F.min("copy_of").alias("class_id")), "firsts")  # so that the join can split a hot chain
     placed = facts.join(firsts, "label").select("node", "copy_of", "class_id", "n_links", F.col("label").alias("group_key"))
     columns = ["doc_id", "class_id", "copy_of", "n_links", "group_key", "text_hash"]
     own = F.col("doc_id")
