@@ -380,6 +380,11 @@ ORACLE["d4_delete"] = (
 ORACLE["d5_clean_project"] = """
 SELECT doc_id::VARCHAR AS id, lang AS project_id, 'documents' AS store FROM documents WHERE lang <> 'en'
 UNION ALL SELECT doc_id::VARCHAR, lang, 'labels' FROM documents JOIN labels USING (doc_id) WHERE lang <> 'en'"""
+ORACLE["d4_delete_store"] = """
+SELECT doc_id::VARCHAR AS id, lang AS project_id, text AS content FROM documents
+WHERE NOT coalesce(lang = 'en' AND source = 'src1', false)"""
+ORACLE["d5_clean_store"] = """
+SELECT doc_id::VARCHAR AS id, lang AS project_id, text AS content FROM documents WHERE lang IS DISTINCT FROM 'en'"""
 ORACLE["d6_replace_projects"] = """
 SELECT doc_id::VARCHAR AS id, lang AS project_id, text AS content FROM documents WHERE lang = 'en'
 UNION ALL SELECT 'b' || item_id, 'es', text FROM benchmark"""

@@ -439,6 +439,30 @@ def d5_clean_project(spark: SparkSession, sf: str) -> DataFrame:
     return kept[0].unionByName(kept[1])
 
 
+def _document_store(spark: SparkSession, sf: str) -> store.DocumentStore:
+    held = store.DocumentStore(spark, _folder(spark))
+    held.write_documents(b.documents(spark, sf))
+    return held
+
+
+@query
+def d4_delete_store(spark: SparkSession, sf: str) -> DataFrame:
+    held = _document_store(spark, sf)
+    conditions = [
+        {"field": "project_id", "operator": "==", "value": "en"},
+        {"field": "source", "operator": "==", "value": "src1"},
+    ]
+    held.delete_documents({"operator": "AND", "conditions": conditions})
+    return held.read().select("id", "project_id", "content")
+
+
+@query
+def d5_clean_store(spark: SparkSession, sf: str) -> DataFrame:
+    held = _document_store(spark, sf)
+    held.clean("en")
+    return held.read().select("id", "project_id", "content")
+
+
 def _benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return b.table(spark, sf, "benchmark").select(
         F.concat(F.lit("b"), "item_id").alias("id"), F.lit("es").alias("project_id"), F.col("text").alias("content")
