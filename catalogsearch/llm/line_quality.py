@@ -5,7 +5,8 @@ The method then hashes every line, normalised to lower case and single spaces, a
 host (`source`) that hold it. A line is boilerplate if these are more than `MIN_DOCUMENTS` and more than `HOST_SHARE` of
 the host's documents, and if it stands between many different lines there: at least `DIFFERENT` of the documents differ
 in the line before or in the line after it. (Copies of one document share all their lines, but they do not make those
-lines boilerplate.) Boilerplate is removed, and a document that loses more than `DEPLETED` of its characters is rejected.
+lines boilerplate.) Boilerplate is removed, and a document that loses more than `DEPLETED` of its characters is rejected:
+`kept_documents` gives the texts that remain, and `quality_rules` the figures and verdicts.
 
 Only lines over `MIN_DOCUMENTS` are looked at beyond the first count, which is a partial aggregation. Hot lines are single
 rows on one side of the joins, so adaptive execution can split the other.
@@ -112,32 +113,49 @@ def frequent_lines(documents: DataFrame) -> DataFrame:
     return spread.join(hosts, "host").filter(F.col("n") > HOST_SHARE * F.col("documents")).select(*key)
 
 
-def quality_rules(documents: DataFrame) -> DataFrame:
-    """One row for each of `documents(doc_id, text, source)`: the base columns, `removed_chars` and `kept`."""
+def _cleaned(rows: DataFrame, text: str) -> DataFrame:
+    """The rows, with column `text` without the lines of `places`, which are numbered as in `_lines`."""
+    split = rows.withColumn("lines", F.when(F.col("places").isNotNull(), F.split(text, "\n")))
+    worded = F.filter(F.transform("lines", lambda line, i: F.when(F.btrim(line, F.lit(SPACE)) != "", i)), lambda i: i.isNotNull())
+    # `lines` and `worded` are named twice where they are used, or else the optimizer would compute them anew for each element.
+    gone = F.transform("places", lambda p: F.when(p < F.size("worded"), F.get("worded", p)))
+    stay = split.withColumn("worded", worded).withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone))
+    joined = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
+    return stay.withColumn(text, F.when(F.col("lines").isNull(), F.col(text)).otherwise(joined))
+
+
+def _judged(documents: DataFrame) -> DataFrame:
+    """`quality_rules`, and in `places` the removed lines, numbered among the lines with a word."""
     keyed = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host")
     ).withColumn("text_hash", F.xxhash64("text"))
     lines = _lines(keyed)
     removed = lines.join(frequent_lines(keyed), ["host", "line"])
     each = removed.groupBy("doc_id", "text_hash", "host", "place").agg(F.max("size").alias("size"), F.max("total").alias("total"))
-    lost = each.groupBy("doc_id", "text_hash", "host").agg(F.sum("size").alias("removed_chars"), F.max("total").alias("total"))
-    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), F.col("host").alias("lost_host"), "removed_chars", "total")
+    lost = each.groupBy("doc_id", "text_hash", "host").agg(F.sum("size").alias("removed_chars"), F.max("total").alias("total"), F.collect_list("place").alias("places"))
+    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), F.col("host").alias("lost_host"), "removed_chars", "total", "places")
     # Written, as a filter on a rule would else be pushed into the array functions and compute them for each element.
     rules = written(text_rules(keyed).drop("text"), "rules")
     same = rules["doc_id"].eqNullSafe(lost["lost_id"]) & (rules["text_hash"] == lost["lost_hash"]) & (rules["host"] == lost["lost_host"])
     depleted = F.coalesce(F.col("removed_chars") > DEPLETED * F.col("total"), F.lit(False))
     return rules.join(lost, same, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("removed_chars", F.lit(0)).cast("bigint").alias("removed_chars"), "text_hash", "host",
+        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("removed_chars", F.lit(0)).cast("bigint").alias("removed_chars"), "text_hash", "host", "places",
     )
 
 
+def quality_rules(documents: DataFrame) -> DataFrame:
+    """One row for each of `documents(doc_id, text, source)`: the base columns, `removed_chars` and `kept`."""
+    return _judged(documents).drop("places")
+
+
 def kept_documents(documents: DataFrame) -> DataFrame:
-    """The rows of `documents(doc_id, text, source, ...)` that the rules keep, unchanged."""
+    """The rows of `documents(doc_id, text, source, ...)` that the rules keep, their text without the boilerplate lines."""
     names = [f"c{i}" for i in range(len(documents.columns))]  # whatever the columns are called
     number = {c: names[i] for i, c in enumerate(documents.columns)}
-    own = [F.col(number["doc_id"]).cast("bigint"), F.xxhash64(F.coalesce(number["text"], F.lit(""))), F.coalesce(F.col(number["source"]).cast("string"), F.lit(""))]
+    text = number["text"]
+    own = [F.col(number["doc_id"]).cast("bigint"), F.xxhash64(F.coalesce(text, F.lit(""))), F.coalesce(F.col(number["source"]).cast("string"), F.lit(""))]
     rows = documents.toDF(*names).select(*names, *[c.alias(n) for c, n in zip(own, ("own_id", "own_hash", "own_host"), strict=True)])
-    judged = quality_rules(documents).filter("kept").select("doc_id", "text_hash", "host")
+    judged = _judged(documents).filter("kept").select("doc_id", "text_hash", "host", "places").dropDuplicates(["doc_id", "text_hash", "host"])
     same = rows["own_id"].eqNullSafe(judged["doc_id"]) & (rows["own_hash"] == judged["text_hash"]) & (rows["own_host"] == judged["host"])
-    return rows.join(judged, same, "left_semi").select(*names).toDF(*documents.columns)
+    return _cleaned(rows.join(judged, same), text).select(*names).toDF(*documents.columns)

@@ -24,8 +24,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep (operator 8)."""
-    return kept_documents(docs)
+    """Documents that the quality rules keep, without boilerplate lines (operator 8)."""
+    kept = kept_documents(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

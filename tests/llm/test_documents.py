@@ -321,6 +321,20 @@ def test_line_quality_against_sql(spark, odd):
     assert line_quality.kept_documents(odd).columns == odd.columns and line_quality.quality_rules(odd.limit(0)).count() == 0
 
 
+def test_kept_documents_lose_their_boilerplate(spark):
+    line = "Subscribe to  our Newsletter"
+    body = [f"{words(40, i)}\n \n{words(30, 500 + i)}" for i in range(60)]
+    rows = [(i, f"\n{b}\n{line}\nmore\n{line.lower()} \n" if i % 2 else f"{b}\n{line}", "h", i) for i, b in enumerate(body)]
+    rows += [(i, t, s, 7) for i, t, s, _ in rows[:3]] + [(None, body[0] + f"\n{line}", "h", 8), (None, body[0], "other", 9), (200, f"{body[5]}\n{line}", "other", 10), (201, None, "h", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, places int")
+    got = {(r["doc_id"], r["places"]): r["text"] for r in line_quality.kept_documents(docs).collect()}
+    want = {(i, i): f"\n{b}\nmore\n" if i % 2 else b for i, b in enumerate(body)}
+    want |= {(i, 7): want[i, i] for i in range(3)} | {(None, 8): body[0], (None, 9): body[0], (200, 10): f"{body[5]}\n{line}"}
+    assert got == want and line_quality.kept_documents(docs).columns == docs.columns
+    staged = corpus_pipeline.quality_stage(spark, docs.withColumn("n_chars", docs["doc_id"]), SF).collect()
+    assert len(staged) == len(want) and all(r["n_chars"] == len(r["text"]) for r in staged)
+
+
 def test_queries_give_their_columns(spark):
     wanted = {
         "op1_token_files": "doc_id start n_tokens ids_crc32", "op2_substring_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
