@@ -19,7 +19,7 @@ import corpus_pipeline
 from catalogsearch.llm import jaccard_join as jaccard
 from catalogsearch.llm import line_quality, packing, toxicity
 from catalogsearch.llm.byte_bpe import ByteBPE, bpe_encode, bpe_round_trip, read_ranks
-from catalogsearch.llm.chunk_dedup import chunks, gear_hash, remove_repeats
+from catalogsearch.llm.chunk_dedup import MOST_WORDS, chunks, gear_hash, remove_repeats, removed_spans, smallest_nearby
 from catalogsearch.llm.hashing import ByteHasher, word_bounds
 from catalogsearch.llm.oracle import ORACLE
 from catalogsearch.llm.pieces import TokenizerPieces, blocks
@@ -287,6 +287,39 @@ def test_chunks_resist_insertions():
     assert gear_hash(data)[100] == gear_hash(data[60:])[40]
 
 
+def test_chunks_have_a_maximum():
+    random = np.random.default_rng(7)
+    for hashes in (random.integers(0, 1 << 32, 500, dtype=np.uint32), random.integers(0, 5, 60, dtype=np.uint32), np.arange(40, dtype=np.uint32), np.arange(5, dtype=np.uint32)):
+        n = len(hashes)
+        want = [any(hashes[i] == hashes[j : j + MOST_WORDS].min() for j in range(max(0, i - MOST_WORDS + 1), min(i, n - MOST_WORDS) + 1)) for i in range(n)]
+        assert smallest_nearby(hashes).tolist() == want
+    for text in (words(20_000, 40), "a " * 300, words(7, 41) * 99, "a", ""):
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, sizes, _ = chunks(data)
+        assert sizes.sum() == len(text.split()) and max(sizes, default=0) <= MOST_WORDS
+        assert set(starts.tolist()) <= set(word_bounds(data)[0].tolist())
+
+
+def test_repeated_phrases_are_removed():
+    for period in range(1, 13):
+        for seed in range(30):
+            line = words(period, 1000 * period + seed)
+            text = words(40, seed) + "\n" + "\n".join([line] * 60) + "\n" + words(40, 100 + seed)
+            spans = removed_spans(np.frombuffer(text.encode(), np.uint8), set())
+            left = len(text) - sum(b - a for a, b in spans) - 2 * 280
+            # Whole first lines: 32 bytes of other text reach into them, and a chunk ends beyond the last.
+            assert left <= 7 * (2 * period + 5 + 2 * MOST_WORDS), (period, seed)
+
+
+def test_passages_of_51_words_are_found(spark):
+    rows = []
+    for i in range(1500):
+        shared = words(51, 50_000 + i)
+        rows += [(2 * i + k, f"{words(25, 10_000 + 2 * i + k)} {shared} {words(25, 30_000 + 2 * i + k)}") for k in range(2)]
+    got = {r["doc_id"]: r["n_removed"] for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed").collect()}
+    assert all(got[2 * i] == 0 and 16 * 7 <= got[2 * i + 1] <= 52 * 7 for i in range(1500))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(ODD, max_size=6))
 def test_byte_bpe_equals_tiktoken(texts):
