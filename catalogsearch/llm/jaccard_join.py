@@ -1,9 +1,10 @@
-"""Operator 4: n-gram Jaccard join by a MinHash LSH forest and exact verification.
+"""Operator 4: n-gram Jaccard join by banded MinHash and exact verification.
 
 A document is the set of its shingles of five words. Documents with equal sets are copies: one class, which is searched
-once. `TREES` signatures of up to `DEPTH` MinHash values are the paths of a forest of prefix tries; two classes meet in a
-tree if their paths agree up to the matched depth. That depth starts at `DEPTH` and is shortened until the chance that
-two classes at the threshold meet in some tree reaches `RECALL`. A trie node at that depth is the hash of its prefix.
+once. A signature has `TREES` bands (called trees below) of equally many MinHash values, and two classes meet in a band if
+they agree in all its values. That number, the matched depth, is the largest up to `DEPTH` at which the chance that two
+classes at the threshold meet in some band reaches `RECALL`: 8 for the constants here. It depends on them alone, not on
+the data, so this is no LSH forest with prefixes of several lengths. A trie node is the hash of a band.
 
 Classes that meet are tied to the smallest class of the trie node, and the ties' connected components bring candidates
 together, without all pairs of a node. Within a component all pairs are verified exactly, by counting shared shingles in a
@@ -25,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bloom_blocks, with_possible
@@ -112,6 +113,19 @@ def signed(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, SIGNED)
 
 
+def _text_key() -> Column:
+    """Stands for a text, and its id unless that is null. The smallest of a class chooses the text that verification reads."""
+    return F.xxhash64("doc_id", "text_hash")
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    """`text_key, text`. Rows without an id share their key with their copies, of which one is enough."""
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = texts.filter("doc_id IS NOT NULL")
+    keyed = [x.select(_text_key().alias("text_key"), "text") for x in (y.withColumn("text_hash", F.xxhash64("text")) for y in (known, texts.filter("doc_id IS NULL")))]
+    return keyed[0].unionByName(keyed[1].dropDuplicates(["text_key"]))
+
+
 def _ties(classes: DataFrame) -> DataFrame:
     """Each class tied to its smallest hub, and its other hubs too; the hub of a trie node is its smallest class.
 
@@ -126,7 +140,7 @@ def _ties(classes: DataFrame) -> DataFrame:
 
 
 def _groups(members: DataFrame, threshold: float) -> DataFrame:
-    """`node, copy_of, part, side` of each group that a class of `members(node, label, n_shingles, copy_of)` belongs to.
+    """`node, text_key, part, side` of each group that a class of `members(node, label, n_shingles, text_key)` belongs to.
 
     Groups of a small component: all its classes. Of a large one: pairs of blocks; `side` is the block of the pair.
     Block counts reach the classes by a salted join, so a large component is not one join key.
@@ -158,8 +172,8 @@ def _groups(members: DataFrame, threshold: float) -> DataFrame:
     down = pairs(F.coalesce("below", F.lit(0)), lambda x: pair(c - 1, x, c, b, F.lit(1)))
     none = F.lit(0)
     parts = F.when(F.col("blocks").isNull(), F.array(pair(none, none, none, none, none))).otherwise(F.concat(same, up, down))
-    spread = placed.select("node", "copy_of", "label", F.explode(parts).alias("p"))
-    return spread.select("node", "copy_of", F.struct("label", "p.c1", "p.b1", "p.c2", "p.b2").alias("part"), "p.side")
+    spread = placed.select("node", "text_key", "label", F.explode(parts).alias("p"))
+    return spread.select("node", "text_key", F.struct("label", "p.c1", "p.b1", "p.c2", "p.b2").alias("part"), "p.side")
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -220,13 +234,13 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     """
     rows = written(signed(documents, threshold), "signed")
     filled = rows.filter("node IS NOT NULL")
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("copy_of"), F.first("n_shingles").alias("n_shingles"), F.first("paths").alias("paths"))
+    classes = filled.groupBy("node").agg(F.min("doc_id").alias("copy_of"), F.min(_text_key()).alias("text_key"), F.first("n_shingles").alias("n_shingles"), F.first("paths").alias("paths"))
     classes = written(classes, "classes")
-    members = connected_components(_ties(classes)).join(classes.select("node", "n_shingles", "copy_of"), "node")
+    members = connected_components(_ties(classes)).join(classes.select("node", "n_shingles", "text_key"), "node")
     members = written(members, "members")
     groups = _groups(members, threshold)
-    texts = with_possible(documents.select(F.col("doc_id").cast("bigint").alias("copy_of"), "text"), "copy_of", bloom_blocks(members, "copy_of"))
-    found = groups.join(texts.filter("possible").drop("possible"), "copy_of").drop("copy_of").groupBy("part").applyInPandas(_verify(threshold), "node binary, links bigint, a binary")
+    texts = with_possible(_texts(documents), "text_key", bloom_blocks(members, "text_key"))
+    found = groups.join(texts.filter("possible").drop("possible"), "text_key").drop("text_key").groupBy("part").applyInPandas(_verify(threshold), "node binary, links bigint, a binary")
     found = written(found, "found")
     chains = connected_components(found.filter("a <> node").select("a", F.col("node").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))

@@ -217,6 +217,19 @@ def test_jaccard_join_against_brute_force(spark, odd, small, monkeypatch):
     assert jaccard.jaccard_join(odd).count() == odd.count() and jaccard.jaccard_join(odd.limit(0)).count() == 0
 
 
+def test_jaccard_join_without_ids(spark):
+    def near(seed, *edits):
+        w = words(120, seed).split()
+        for i in edits:
+            w[i] = f"edit{i}"
+        return " ".join(w)
+
+    rows = [(None, near(60)), (None, near(60, 3)), (None, near(60, 3)), (1, near(60, 90))]  # classes without any id
+    rows += [(2, near(61 + i)) for i in range(8)] + [(10 + i, near(61 + i, 50)) for i in range(8)]  # one id, many texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert multiset(jaccard.jaccard_join(docs).select("doc_id", "class_id", "copy_of", "n_links").collect()) == brute_classes(rows)
+
+
 def test_first_of_groups_keeps_one(spark, odd):
     kept = jaccard.first_of_groups(odd)
     assert kept.columns == odd.columns
