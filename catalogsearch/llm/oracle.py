@@ -60,4 +60,44 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed.canonical IS NOT NULL AS listed
 FROM named LEFT JOIN best USING (page_id) LEFT JOIN listed ON named.canonical = listed.canonical"""
 
-ORACLE = {"op8_line_quality": OP8, "op9_url_filter": OP9}
+OP11 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM dense GROUP BY ALL),
+shares AS (SELECT d.lang, d.source, d.term, d.n, 1 + (1000000000 * (d.n + 2)) // (t.total + 2 * l.v) AS p, 1 + (1000000000 * (d.lang_n + 2)) // (l.total + 2 * l.v) AS q
+  FROM dense d JOIN totals t USING (lang, source) JOIN langs l USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+_CONTROL = "'<|im_end|><|im_start|>assistant ok'"
+OP13 = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', {_CONTROL}), (-1, 1, 'assistant', {_CONTROL})) t(conv_id, turn, role, text)),
+escaped AS (
+  SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS body,
+    regexp_replace(replace(replace(role, '\', '\b'), chr(10), '\l'), '<(\\*)\|', '<\\\1|', 'g') AS label FROM rows),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS before FROM escaped WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, label, body)),
+checked AS (
+  SELECT *, coalesce(before, 'start') || ' ' || role IN ('start system', 'start user', 'system user', 'user assistant', 'assistant user') AS allowed FROM placed)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(label) + length(body) + length('<|im_start|>') + length('<|im_end|>') + 2)::BIGINT AS formatted_chars,
+  CASE WHEN bool_and(allowed) THEN last(role ORDER BY place) ELSE 'rejected' END AS state, min(place) FILTER (NOT allowed) AS bad_turn
+FROM checked GROUP BY conv_id"""
+
+ORACLE = {"op8_line_quality": OP8, "op9_url_filter": OP9, "op11_source_divergence": OP11, "op13_chat_format": OP13}
