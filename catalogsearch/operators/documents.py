@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogsearch.functions import comments
 from catalogsearch.functions.binding import bind
 from catalogsearch.functions.comments import CommentBuilder
+from catalogsearch.operators.hubs import hot_keys, hub_join
 from catalogsearch.operators.numbering import number_rows
 from catalogsearch.options import Options
 from catalogsearch.schemas import COMMAND, MDL_COLUMN, ORD, empty_list
@@ -74,13 +75,13 @@ def _key_column(condition: Column, side: Column) -> Column:
     return bind(F.get(F.split(condition, " = "), side), column)
 
 
-def relation_ends(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
-    """Models that own a foreign key line, by relation position.
+def relation_ends(mdl: DataFrame, options: Options) -> DataFrame:
+    """Foreign key lines by the names they are for and refer to: `(project_id, rel_pos, item, side, name, related)`.
 
     In `source_only` mode a relation belongs to its first model. In `reference` mode it is
     repeated on the second, and a model that relates to itself has it once.
     """
-    item = F.col("item")
+    item, side = F.col("item"), F.col("side")
     pair = _resources(mdl, "relationships").where(
         (F.size(item["models"]) == 2) & item["joinType"].isin(*JOIN_TYPES)
     )
@@ -89,23 +90,31 @@ def relation_ends(mdl: DataFrame, models: DataFrame, options: Options) -> DataFr
         sides = F.when(first == second, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
     else:
         sides = F.array(F.lit(0))
-    ends = pair.select(
-        "project_id", F.col("pos").alias("rel_pos"), "item", F.explode(sides).alias("side")
-    ).withColumn("name", F.get(item["models"], F.col("side")))
-    owners = models.select("project_id", "name", "pos", "n_columns")
-    return ends.join(owners, ["project_id", "name"])
+    ends = pair.select("project_id", F.col("pos").alias("rel_pos"), "item", F.explode(sides).alias("side"))
+    return ends.select("*", F.get(item["models"], side).alias("name"), F.get(item["models"], 1 - side).alias("related"))
+
+
+def hub_models(ends: DataFrame, options: Options) -> DataFrame | None:
+    """Models that very many relations belong or refer to."""
+    names = ends.select("project_id", F.explode(F.array("name", "related")).alias("name"))
+    return hot_keys(names, ["project_id", "name"], options.hub_rows, options.hubs)
+
+
+def with_owners(ends: DataFrame, models: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """Ends with place and width of the models of their name; names that are no model are dropped."""
+    return hub_join(ends, models.select("project_id", "name", "pos", "n_columns"), ["project_id", "name"], "rel_pos", hubs)
 
 
-def with_key_command(ends: DataFrame, models: DataFrame) -> DataFrame:
+def with_key_command(ends: DataFrame, models: DataFrame, hubs: DataFrame | None) -> DataFrame:
     """Adds the foreign key command of each end."""
-    item, side = F.col("item"), F.col("side")
+    item = F.col("item")
     condition = _text(item["condition"])
     keys = models.groupBy("project_id", F.col("name").alias("related")).agg(
         F.max_by("primary_key", "pos").alias("related_key")
     )
     constraint = F.concat(
         F.lit("FOREIGN KEY ("),
-        _key_column(condition, side),
+        _key_column(condition, F.col("side")),
         F.lit(") REFERENCES "),
         F.col("related"),
         F.lit("("),
@@ -122,8 +131,7 @@ def with_key_command(ends: DataFrame, models: DataFrame) -> DataFrame:
         item["models"].alias("tables"),
     ).cast(COMMAND)
     return (
-        ends.withColumn("related", F.get(item["models"], 1 - side))
-        .join(keys, ["project_id", "related"], "left")
+        hub_join(ends, keys, ["project_id", "related"], "rel_pos", hubs, "left")
         .withColumn("command", command)
         .drop("item", "side", "related", "related_key")
     )
@@ -131,55 +139,50 @@ def with_key_command(ends: DataFrame, models: DataFrame) -> DataFrame:
 
 def relationship_commands(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
     """Foreign key commands of the models they belong to: `(project_id, pos, name, n_columns, rel_pos, command)`."""
-    return with_key_command(relation_ends(mdl, models, options), models)
+    ends = relation_ends(mdl, options)
+    hubs = hub_models(ends, options)
+    return with_owners(with_key_command(ends, models, hubs), models, hubs)
+
+
+def numbered_keys(mdl: DataFrame, models: DataFrame, options: Options) -> DataFrame:
+    """`relationship_commands` with `rn`, the number of each among those of its model.
+
+    Relations are numbered by the model's name, before anything of the model comes in: in one window while no model has
+    more than `hub_rows` of them, else range by range.
+    """
+    ends = relation_ends(mdl, options)
+    hubs = hub_models(ends, options)
+    commands, owner = with_key_command(ends, models, hubs), ["project_id", "name"]
+    if hubs is None:
+        number = F.row_number().over(Window.partitionBy(*owner).orderBy("rel_pos"))
+        numbered = commands.withColumn("rn", number.cast("bigint") - 1)
+    else:
+        numbered = number_rows(commands, owner, "rel_pos", options.number_bucket)
+    return with_owners(numbered, models, hubs)
 
 
 def column_chunks(mdl: DataFrame, options: Options, extra: tuple[CommentBuilder, ...] = ()) -> DataFrame:
     """Commands of each model, columns before foreign keys, in batches of `column_batch_size`."""
     size = options.column_batch_size
+    place = ["project_id", "pos", "name"]
     models = column_commands(preprocess_models(mdl), extra)
-    n_chunks = F.ceil(F.col("n_columns") / size).cast("int")
-    numbers = F.sequence(F.lit(0), n_chunks - 1)
-    own = models.where("n_columns > 0").select(
-        "project_id", "pos", "name", F.explode(numbers).alias("chunk_no"), "commands"
-    ).select(
-        "project_id",
-        "pos",
-        "name",
-        "chunk_no",
-        F.lit(0).alias("_source"),
-        F.slice("commands", F.col("chunk_no") * size + 1, F.lit(size)).alias("commands"),
-    )
-    numbered = number_rows(
-        relation_ends(mdl, models, options), ["project_id", "pos"], "rel_pos", options.number_bucket
-    )
+    in_order = F.sort_array(F.collect_list(F.struct("rn", "command")))
     keys = (
-        with_key_command(numbered, models)
+        numbered_keys(mdl, models, options)
         .withColumn("chunk_no", F.floor((F.col("n_columns") + F.col("rn")) / size).cast("int"))
-        .groupBy("project_id", "pos", "name", "chunk_no")
-        .agg(F.sort_array(F.collect_list(F.struct("rn", "command"))).alias("numbered"))
-        .select(
-            "project_id",
-            "pos",
-            "name",
-            "chunk_no",
-            F.lit(1).alias("_source"),
-            F.transform("numbered", lambda x: x["command"]).alias("commands"),
-        )
-    )
-    # At most two lists meet here: the last columns of a model and its first foreign keys.
-    return (
-        own.unionByName(keys)
-        .groupBy("project_id", "pos", "name", "chunk_no")
-        .agg(F.sort_array(F.collect_list(F.struct("_source", "commands"))).alias("lists"))
-        .select(
-            "project_id",
-            "pos",
-            "name",
-            "chunk_no",
-            F.flatten(F.transform("lists", lambda x: x["commands"])).alias("commands"),
-        )
+        .groupBy(*place, "chunk_no", "n_columns")
+        .agg(in_order.alias("numbered"))
+        .select(*place, "chunk_no", "n_columns", F.transform("numbered", lambda x: x["command"]).alias("commands"))
     )
+    # The first foreign keys of a model fill the batch of its last columns; later ones have batches of their own.
+    fills = (F.col("chunk_no") == F.floor(F.col("n_columns") / size)) & (F.col("n_columns") % size > 0)
+    first = keys.where(fills).select(*place, F.col("commands").alias("first_keys"))
+    listed = F.concat("commands", F.coalesce("first_keys", empty_list(COMMAND)))
+    whole = models.where("n_columns > 0").select(*place, "commands").join(first, place, "left").select(*place, listed.alias("listed"))
+    batch = F.slice("listed", F.col("chunk_no") * size + 1, F.lit(size))
+    numbers = F.sequence(F.lit(0), F.ceil(F.size("listed") / size).cast("int") - 1)
+    own = whole.select(*place, F.explode(numbers).alias("chunk_no"), "listed").select(*place, "chunk_no", batch.alias("commands"))
+    return own.unionByName(keys.where(~fills).select(*place, "chunk_no", "commands"))
 
 
 def _ord(section: int, kind: int, chunk_no: Column) -> Column:

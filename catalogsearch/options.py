@@ -27,6 +27,8 @@ class Options:
 
     mdl_part_size: int = 1_000  # resources per MDL row
     number_bucket: int = 4_096  # rows of one key that are numbered in one window
+    hub_rows: int = 10_000  # rows of one key that are joined in one piece,
+    hubs: int = 10_000  # and the most keys that are split beyond that
     broadcast_queries: int = 4_096  # largest question batch shipped to every task,
     broadcast_bytes: int = 128 * 1024 * 1024  # and its largest size
     doc_block: int = 8_192  # documents per block beyond that
