@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogsearch.functions.binding import bind
 from catalogsearch.functions.names import clean_display_name
-from catalogsearch.functions.text import json_string, py_literal, py_quote
+from catalogsearch.functions.text import READ_ALL, json_string, py_literal, py_quote
 
 CALCULATED = "This column is a Calculated Field"
 JSON_TYPES = ("JSON", "JSON_ARRAY")
@@ -18,11 +18,25 @@ CommentBuilder = Callable[[Column], Column]
 
 
 _KNOWN = "struct<displayName:string,description:string,uniqueValues:string,json_type:string>"
+#: What a variant can hold; larger properties are taken apart as texts.
+VARIANT_BYTES = 100_000_000
 
 
 def _members(properties: Column, keep: Callable[[Column], Column]) -> Column:
-    bag = F.from_json(properties, "map<string,variant>")
-    return F.map_filter(bag, lambda key, _: keep(key))
+    """JSON object of the chosen members."""
+
+    def chosen(kind: str) -> Column:
+        return F.map_filter(F.from_json(properties, f"map<string,{kind}>", READ_ALL), lambda key, _: keep(key))
+
+    def member(entry: Column) -> Column:
+        # A text map has strings without their quotes; the properties show whether a value had any.
+        key, value = json_string(entry["key"]), entry["value"]
+        quoted = F.rlike(properties, F.concat(F.lit("\\Q"), key, F.lit('\\E\\s*:\\s*"')))
+        return F.concat(key, F.lit(":"), F.when(quoted, json_string(value)).otherwise(F.coalesce(value, F.lit("null"))))
+
+    texts = bind(F.map_entries(chosen("string")), lambda m: F.array_join(F.transform(m, member), ","))
+    large = F.concat(F.lit("{"), texts, F.lit("}"))
+    return F.when(F.octet_length(properties) > VARIANT_BYTES, large).otherwise(F.to_json(chosen("variant")))
 
 
 def _labelled(label: str, raw: Column) -> Column:
@@ -44,11 +58,11 @@ def _pieces(properties: Column, known: Column) -> Column:
         F.when(values.startswith("[") & (values != "[]"), _labelled("uniqueValues", values)),
         F.when(
             F.contains(properties, F.lit('"nested')),
-            bind(nested, lambda m: F.when(F.size(m) > 0, _labelled("nested_columns", F.to_json(m)))),
+            bind(nested, lambda m: F.when(m != "{}", _labelled("nested_columns", m))),
         ),
         F.when(
             json_type.isin(*JSON_TYPES),
-            F.concat(_labelled("json_type", json_string(json_type)), F.lit(","), _labelled("json_fields", F.to_json(json_fields))),
+            F.concat(_labelled("json_type", json_string(json_type)), F.lit(","), _labelled("json_fields", json_fields)),
         ),
     )
 
@@ -58,7 +72,7 @@ def properties_comment(properties: Column) -> Column:
 
     The pieces are joined as JSON text, so that a long value list is copied and never taken apart.
     """
-    pieces = bind(F.from_json(properties, _KNOWN), lambda known: _pieces(properties, known))
+    pieces = bind(F.from_json(properties, _KNOWN, READ_ALL), lambda known: _pieces(properties, known))
     return bind(
         pieces,
         lambda p: F.when(p != "", F.concat(F.lit("-- {"), p, F.lit("}\n  "))).otherwise(""),
@@ -94,7 +108,7 @@ def model_comment(properties: Column) -> Column:
             F.lit("\n/* {'alias': "), py_quote(alias), F.lit(", 'description': "), py_quote(description), F.lit("} */\n")
         )
 
-    return bind(F.from_json(properties, _KNOWN), shown)
+    return bind(F.from_json(properties, _KNOWN, READ_ALL), shown)
 
 
 def view_comment(properties: Column) -> Column:

@@ -14,6 +14,8 @@ _JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^\s\[\]{},:"]+'
 # Estimated tokens: a run of word characters, or any other character that is no white space.
 WORD = "[A-Za-z0-9_]+"
 SPACES = " \t\n\r"
+#: Spark's JSON reader else refuses strings of more than 20 million characters.
+READ_ALL = {"maxStringLen": "2147483647"}
 
 
 def _escape_code(char: Column) -> Column:
@@ -52,7 +54,7 @@ def py_literal(json: Column) -> Column:
     """JSON text as the Python literal of the same value."""
 
     def shown(token: Column) -> Column:
-        string = F.get_json_object(F.concat(F.lit('{"v":'), token, F.lit("}")), "$.v")
+        string = F.from_json(F.concat(F.lit('{"v":'), token, F.lit("}")), "v string", READ_ALL)["v"]
         return (
             F.when(token.startswith('"'), py_quote(string))
             .when(token.isin(",", ":"), F.concat(token, F.lit(" ")))

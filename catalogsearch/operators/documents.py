@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogsearch.functions import comments
 from catalogsearch.functions.binding import bind
 from catalogsearch.functions.comments import CommentBuilder
+from catalogsearch.functions.text import READ_ALL
 from catalogsearch.operators.hubs import hot_keys, hub_join
 from catalogsearch.operators.numbering import number_rows
 from catalogsearch.options import Options
@@ -316,7 +317,7 @@ def description_documents(mdl: DataFrame) -> DataFrame:
         content = F.to_json(
             F.struct(
                 item["name"].alias("name"),
-                _text(F.get_json_object(item["properties"], "$.description")).alias("description"),
+                _text(F.from_json(item["properties"], "description string", READ_ALL)["description"]).alias("description"),
                 _text(columns).alias("columns"),
             )
         )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogsearch.functions.text import json_string
+from catalogsearch.functions.text import READ_ALL, json_string
 from catalogsearch.options import Options
 from catalogsearch.schemas import (
     MDL,
@@ -256,19 +256,32 @@ def read_mdl(spark: SparkSession, path: str, whole_files: bool = False) -> DataF
     return reader.text(path).select("project_id", F.col("value").alias("mdl"))
 
 
-#: Spark's JSON reader else refuses strings of more than 20 million characters.
-READ_ALL = {"maxStringLen": "2147483647"}
 #: Each list as raw JSON text, so that its JSON type shows, and the text itself if it is broken.
 _SHAPE = ",".join(f"{name} string" for name in LISTS) + ",part string,broken string"
-_FLAG = r'(?<!\\)("(?:isCalculated|notNull|isHidden)"\s*:\s*)'
-_FALSY = _FLAG + r'(?:-?0+(?:\.0+)?(?:[eE][+-]?\d+)?|"")(?=[\s,}])'
-_TRUTHY = _FLAG + r'(?:-?\d[\d.eE+-]*|"(?:[^"\\]|\\.)+")(?=[\s,}])'
+FLAGS = ("isCalculated", "notNull", "isHidden")
+#: The document with flags of any type, and a text in which there may be flags that are no booleans.
+_ANY_FLAGS = MDL.replace(",".join(f"{flag}:boolean" for flag in FLAGS), ",".join(f"{flag}:variant" for flag in FLAGS))
+_ODD_FLAG = rf'"(?:{"|".join(FLAGS)})"\s*:\s*[-0-9"\[{{]'
 
 
-def _plain_flags(text: Column) -> Column:
-    """Flags given as numbers or strings become booleans by truthiness, as 1 for true."""
-    plain = F.regexp_replace(F.regexp_replace(text, _FALSY, "$1false"), _TRUTHY, "$1true")
-    return F.when(text.rlike(_FLAG + r'[-0-9"]'), plain).otherwise(text)
+def _truthy(value: Column) -> Column:
+    """Whether a value is neither false, zero nor empty; null stays null."""
+    kind, text = F.schema_of_variant(value), value.cast("string")
+    full = F.when(kind == "BOOLEAN", text == "true").when(kind == "STRING", text != "").when(kind.rlike("^(ARRAY|OBJECT)"), ~text.isin("[]", "{}"))
+    return F.when(kind != "VOID", F.coalesce(full, text.try_cast("double") != 0, F.lit(True)))
+
+
+def _with_plain_flags(models: Column) -> Column:
+    names = [field.split(":")[0] for field in MDL_COLUMN.removeprefix("struct<").removesuffix(">").split(",")]
+
+    def column(c: Column) -> Column:
+        return F.struct(*[(_truthy(c[n]) if n in FLAGS else c[n]).alias(n) for n in names])
+
+    def model(m: Column) -> Column:
+        columns = F.transform(m["columns"], lambda c: F.when(c.isNotNull(), column(c)))
+        return F.struct(m["name"], m["tableReference"], columns.alias("columns"), m["primaryKey"], m["properties"])
+
+    return F.transform(models, lambda m: F.when(m.isNotNull(), model(m)))
 
 
 def reject_reason(text: Column, shape: Column) -> Column:
@@ -301,10 +314,16 @@ def validate_mdl(documents: DataFrame, strict: bool = False) -> tuple[DataFrame,
     if strict:
         message = F.concat(F.lit("invalid MDL JSON in project "), F.coalesce("project_id", F.lit("")))
         valid = F.when(valid, True).otherwise(F.raise_error(message).cast("boolean"))
-    parsed = judged.where(valid).select("project_id", "part_no", F.from_json(_plain_flags(F.col("mdl")), MDL, READ_ALL).alias("m"))
-    rows = parsed.select(
+    odd = F.col("mdl").rlike(_ODD_FLAG)
+    parsed = judged.where(valid).select(
         "project_id",
         "part_no",
-        *[F.coalesce(F.col(f"m.{name}"), empty_list(element)).alias(name) for name, element in LISTS.items()],
+        F.when(~odd, F.from_json("mdl", MDL, READ_ALL)).alias("m"),
+        F.when(odd, F.from_json("mdl", _ANY_FLAGS, READ_ALL)).alias("v"),
+    )
+    lists = {name: F.coalesce(F.col(f"m.{name}"), F.col(f"v.{name}")) for name in LISTS}
+    lists["models"] = F.coalesce(F.col("m.models"), _with_plain_flags(F.col("v.models")).cast(f"array<{MDL_MODEL}>"))
+    rows = parsed.select(
+        "project_id", "part_no", *[F.coalesce(lists[name], empty_list(element)).alias(name) for name, element in LISTS.items()]
     )
     return rows, judged.where(F.col("reason").isNotNull()).select("project_id", "part_no", "mdl", "reason")

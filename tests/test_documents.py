@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalogsearch.functions import comments
 from catalogsearch.operators import documents
 from catalogsearch.operators.numbering import number_rows
 from catalogsearch.operators.lookup import assemble
@@ -280,3 +281,50 @@ def test_large_documents_are_valid(spark):
     rows, rejects = validate_mdl(big)
     assert rejects.count() == 0
     assert [tuple(r) for r in rows.select(F.explode("views").alias("v")).select("v.name", F.length("v.statement")).collect()] == [("v", 30_000_000), ("w", 110_000_000)]
+
+
+def test_flags_are_read_and_texts_are_left_alone(spark):
+    properties = '{"nested":{"notNull":0},"jsonX":{"isHidden":2}}'
+    flags = ['0', '"0"', '"false"', '""', '[]', '[0]', '{}', '{"a":1}', '-0.0', '1e3', 'null', 'true', 'false']
+    columns = ",".join(f'{{"name":"c{i}","notNull":{flag},"properties":{properties}}}' for i, flag in enumerate(flags))
+    rows, _ = mdl_rows(spark, f'{{"models":[{{"name":"t","columns":[{columns}]}}],"views":[{{"name":"v"}}]}}')
+    got = rows.select("models", "views").head()
+    found = got["models"][0]["columns"]
+    assert [c["notNull"] for c in found] == [False, True, True, False, False, True, False, True, False, True, None, True, False]
+    assert {c["properties"] for c in found} == {properties} and got["views"][0]["name"] == "v"
+
+
+def long(letter, n):
+    """That many letters, not known before the row is read."""
+    return F.repeat(F.when(F.col("id") == 0, letter), n)
+
+
+def test_properties_of_any_size_are_kept(spark):
+    """A description of 30 MB, a list of 150 MB, and members of all kinds beside them."""
+    size = {"d": 30_000_000, "v": 150_000_000}
+    head = '{"displayName":"A","nested_a":{"q":1.5,"r":"{x}"},"nested_b":"{}","nested_c":7,"nested_d":null,"json_type":"JSON","description":"'
+    texts = spark.range(1).select(
+        F.concat(F.lit(head), long("d", size["d"]), F.lit('"}')).alias("description"),
+        F.concat(F.lit(head), F.lit('x","uniqueValues":["'), long("v", size["v"]), F.lit('"]}')).alias("values"),
+    )
+    members = '"nested_columns":{"nested_a":{"q":1.5,"r":"{x}"},"nested_b":"{}","nested_c":7,"nested_d":null}'
+    for name, letter in (("description", "d"), ("values", "v")):
+        comment = comments.properties_comment(F.col(name))
+        runs = F.length(F.regexp_replace(comment, f"[^{letter}]", ""))
+        short = F.regexp_replace(comment, f"{letter}{{100,}}", "...")
+        got = texts.select(runs.alias("n"), short.alias("short")).head()
+        assert got["n"] >= size[letter] and members in got["short"] and '"alias":"A"' in got["short"], got["short"]
+        assert '"json_type":"JSON","json_fields":{"json_type":"JSON"}' in got["short"]
+    header = texts.select(F.length(comments.model_comment(F.col("description")))).head()[0]
+    assert header > size["d"]
+
+
+def test_headers_and_descriptions_of_any_size(spark):
+    mdl = spark.range(1).select(
+        F.lit("p").alias("project_id"),
+        F.concat(F.lit('{"models":[{"name":"t","columns":[{"name":"c","properties":{"description":"'), long("c", 21_000_000), F.lit('"}}],"properties":{"description":"'), long("x", 21_000_000), F.lit('"}}]}')).alias("mdl"),
+    )
+    rows, _ = validate_mdl(mdl)
+    lengths = documents.schema_documents(rows, Options()).select(F.length("content")).collect()
+    assert all(n > 21_000_000 for (n,) in lengths) and len(lengths) == 2
+    assert documents.description_documents(rows).select(F.length("content")).head()[0] > 21_000_000
