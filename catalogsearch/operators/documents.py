@@ -17,7 +17,7 @@ from catalogsearch.schemas import COMMAND, MDL_COLUMN, ORD, empty_list
 TABLE_SCHEMA = "TABLE_SCHEMA"
 TABLE_DESCRIPTION = "TABLE_DESCRIPTION"
 MODELS, VIEWS, METRICS = 0, 1, 2
-CHUNK, HEADER = 0, 1
+CHUNK, HEADER, VALUES = 0, 1, 2
 
 JOIN_TYPES = ("MANY_TO_ONE", "ONE_TO_MANY", "ONE_TO_ONE")
 
@@ -246,6 +246,26 @@ def header_documents(mdl: DataFrame) -> DataFrame:
     )
 
 
+def value_documents(mdl: DataFrame) -> DataFrame:
+    """COLUMN_VALUES payloads: values beyond the first list of a column, which follow the header of their model."""
+    item = F.col("item")
+    more = F.struct(
+        F.lit("COLUMN").alias("type"),
+        F.concat(F.lit('-- {"uniqueValues":'), item["values"], F.lit("}\n  ")).alias("comment"),
+        _text(item["column"]).alias("name"),
+    )
+    content = F.to_json(F.struct(F.lit("COLUMN_VALUES").alias("type"), "name", F.array(more).alias("columns")))
+    lists = _resources(mdl, "columnValues").select("project_id", _text(item["model"]).alias("name"), "item")
+    places = preprocess_models(mdl).groupBy("project_id", "name").agg(F.min("pos").alias("pos"))
+    return lists.join(places, ["project_id", "name"]).select(
+        "project_id",
+        "name",
+        F.lit("COLUMN_VALUES").alias("kind"),
+        _ord(MODELS, VALUES, item["place"]).alias("ord"),
+        content.alias("content"),
+    )
+
+
 def view_documents(mdl: DataFrame) -> DataFrame:
     """VIEW payloads."""
     item = F.col("item")
@@ -306,6 +326,8 @@ def schema_documents(mdl: DataFrame, options: Options, extra: tuple[CommentBuild
         .unionByName(view_documents(mdl))
         .unionByName(metric_documents(mdl))
     )
+    if "columnValues" in mdl.columns:
+        rows = rows.unionByName(value_documents(mdl))
     return _documents(rows, TABLE_SCHEMA)
 
 

@@ -25,7 +25,9 @@ class Options:
     embed_batch: int = 32
     dim: int = 1536
 
-    mdl_part_size: int = 1_000  # resources per MDL row
+    mdl_part_size: int = 1_000  # resources per MDL row,
+    mdl_part_bytes: int = 64 * 1024 * 1024  # and their size
+    value_part_bytes: int = 32 * 1024 * 1024  # size of one list of a column's values
     number_bucket: int = 4_096  # rows of one key that are numbered in one window
     hub_rows: int = 10_000  # rows of one key that are joined in one piece,
     hubs: int = 10_000  # and the most keys that are split beyond that
@@ -37,6 +39,6 @@ class Options:
     def __post_init__(self) -> None:
         if self.fk_mode not in ("source_only", "reference"):
             raise ValueError(f"fk_mode must be 'source_only' or 'reference', not {self.fk_mode!r}")
-        for field in ("column_batch_size", "table_top_k", "chunk_limit", "embed_batch", "mdl_part_size"):
+        for field in ("column_batch_size", "table_top_k", "chunk_limit", "embed_batch", "mdl_part_size", "mdl_part_bytes", "value_part_bytes"):
             if getattr(self, field) < 1:
                 raise ValueError(f"{field} must be at least 1")

@@ -39,9 +39,11 @@ MDL_METRIC = (
     "struct<name:string,baseObject:string,dimension:array<struct<name:string,type:string>>,"
     "measure:array<struct<name:string,type:string,expression:string>>,properties:string>"
 )
+# Values of a column beyond those of its properties; `place` counts them within their model.
+MDL_VALUES = "struct<model:string,column:string,part:int,place:int,values:string>"
 MDL = (
     f"struct<models:array<{MDL_MODEL}>,relationships:array<{MDL_RELATIONSHIP}>,"
-    f"views:array<{MDL_VIEW}>,metrics:array<{MDL_METRIC}>>"
+    f"views:array<{MDL_VIEW}>,metrics:array<{MDL_METRIC}>,columnValues:array<{MDL_VALUES}>>"
 )
 
 # One union of all payload kinds; absent fields are null and leave no trace in the JSON.

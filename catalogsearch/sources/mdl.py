@@ -1,15 +1,16 @@
 """MDL documents: building, writing, reading and checking them.
 
 An MDL document lists the models, relationships, views and metrics of a project. Here a project
-is one or more rows `(project_id, part_no, models, relationships, views, metrics)`: one row up to
-`mdl_part_size` resources, and hashed parts beyond, so that no project has to fit in one row.
+is one or more rows `(project_id, part_no, models, relationships, views, metrics, columnValues)`: one row up to a number
+of resources and bytes, and several parts beyond, so that no project has to fit in one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
 from catalogsearch.functions.text import READ_ALL, json_string
 from catalogsearch.options import Options
 from catalogsearch.schemas import (
@@ -18,19 +19,19 @@ from catalogsearch.schemas import (
     MDL_METRIC,
     MDL_MODEL,
     MDL_RELATIONSHIP,
+    MDL_VALUES,
     MDL_VIEW,
     empty_list,
 )
 from catalogsearch.sources.catalog import (
-    RELATION_KEYS,
     Catalog,
     base_tables,
     columns_of,
     fetch_primary_keys,
     fetch_relationships,
-    named,
     views_of,
 )
+from catalogsearch.sources.parts import number_parts
 from catalogsearch.sources.profile import nest_values
 
 LISTS = {
@@ -38,8 +39,8 @@ LISTS = {
     "relationships": MDL_RELATIONSHIP,
     "views": MDL_VIEW,
     "metrics": MDL_METRIC,
+    "columnValues": MDL_VALUES,
 }
-VALUE_BYTES = 256 * 1024 * 1024
 
 
 def _object(*members: tuple[str, Column]) -> Column:
@@ -56,20 +57,20 @@ def _described(text: Column) -> Column:
     return F.when(text != "", json_string(text))
 
 
-def catalog_models(
-    tables: DataFrame,
-    catalog: Catalog,
-    values: DataFrame | None,
-    options: Options,
-    max_value_bytes: int = VALUE_BYTES,
-    oversize: str = "error",
-) -> DataFrame:
-    """One MDL model per given base table, columns in ordinal order."""
+def _bytes(*texts: Column) -> Column:
+    """Size of some texts in a document, and of what stands around them."""
+    return sum((F.coalesce(F.octet_length(t), F.lit(0)).cast("bigint") for t in texts), F.lit(64).cast("bigint"))
+
+
+def catalog_models(tables: DataFrame, catalog: Catalog, lists: DataFrame | None, options: Options) -> DataFrame:
+    """One MDL model per given base table, columns in ordinal order: `(project_id, name, n_bytes, item)`.
+
+    `lists` has the first list of values of each column.
+    """
     columns = columns_of(catalog, options)
-    if values is None:
+    if lists is None:
         columns = columns.withColumn("unique_values", F.lit(None).cast("string"))
     else:
-        lists = nest_values(values, max_value_bytes, oversize)
         columns = columns.join(lists, ["project_id", "table_name", "column_name"], "left")
     column = F.struct(
         F.col("column_name").alias("name"),
@@ -86,8 +87,9 @@ def catalog_models(
         ).alias("properties"),
     ).cast(MDL_COLUMN)
     # The width of a table bounds each of these lists.
-    listed = columns.groupBy("project_id", "table_name").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal_position", column.alias("column")))).alias("columns")
+    listed = columns.select("project_id", "table_name", "ordinal_position", column.alias("column")).groupBy("project_id", "table_name").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal_position", "column"))).alias("columns"),
+        F.sum(_bytes(F.col("column.name"), F.col("column.type"), F.col("column.properties"))).alias("columns_bytes"),
     )
     keys = fetch_primary_keys(catalog, options).withColumnRenamed("column_name", "primary_key")
     return (
@@ -95,7 +97,8 @@ def catalog_models(
         .join(keys, ["project_id", "table_name"], "left")
         .select(
             "project_id",
-            "part_no",
+            F.col("table_name").alias("name"),
+            (F.coalesce("columns_bytes", F.lit(0)) + _bytes(F.col("table_name"), F.col("comment"))).alias("n_bytes"),
             F.struct(
                 F.col("table_name").alias("name"),
                 F.struct(F.lit(options.schema).alias("schema"), F.col("table_name").alias("table")).alias(
@@ -111,63 +114,57 @@ def catalog_models(
     )
 
 
-def build_mdl(
-    catalog: Catalog,
-    values: DataFrame | None,
-    options: Options,
-    max_value_bytes: int = VALUE_BYTES,
-    oversize: str = "error",
-) -> DataFrame:
-    """MDL rows of every project in the catalog.
+def further_values(lists: DataFrame, tables: DataFrame) -> DataFrame:
+    """The lists of values after the first of each column, numbered within their table."""
+    rest = lists.where("part > 0")
+    key = ["project_id", "table_name", "column_name", "part"]
+    number = F.row_number().over(Window.partitionBy("project_id", "table_name").orderBy("column_name", "part")) - 1
+    places = rest.select(*key).withColumn("place", number)
+    own = rest.join(places, key).join(tables.select("project_id", "table_name"), ["project_id", "table_name"], "left_semi")
+    item = F.struct(F.col("table_name").alias("model"), F.col("column_name").alias("column"), "part", "place", F.col("unique_values").alias("values"))
+    return own.select("project_id", F.col("table_name").alias("name"), _bytes(F.col("unique_values")).alias("n_bytes"), item.cast(MDL_VALUES).alias("item"))
 
-    Models are sorted by name, relationships by name and condition, views by name. The values are
-    read twice, for their sizes and for the lists: pass a written or checkpointed table.
-    """
-    sizes = _project_sizes(catalog, options).select(
-        "project_id", F.ceil(F.col("n") / options.mdl_part_size).alias("n_parts")
-    )
 
-    def parted(frame: DataFrame, name: str) -> DataFrame:
-        part = F.pmod(F.xxhash64(name), F.col("n_parts")).cast("int")
-        return frame.join(sizes, "project_id").withColumn("part_no", part).drop("n_parts")
+def build_mdl(catalog: Catalog, values: DataFrame | None, options: Options) -> DataFrame:
+    """MDL rows of every project in the catalog.
 
-    # Parts are assigned to bare names, before the columns come in.
-    tables = parted(base_tables(catalog, options).select("project_id", "table_name", "comment"), "table_name")
+    Models are sorted by name, relationships by name and condition, views by name. A project is one row up to
+    `mdl_part_size` resources and `mdl_part_bytes`, and parts within both beyond; only a resource that is larger by itself
+    makes a larger part. A list of values over `value_part_bytes` goes on in `columnValues`, so that none is too large for a
+    row. The values are read twice: pass a written or checkpointed table.
+    """
+    tables = base_tables(catalog, options).select("project_id", "table_name", "comment")
+    lists = None if values is None else checkpointed(nest_values(values, options.value_part_bytes))
+    first = None if lists is None else lists.where("part = 0").drop("part")
+    relation, view = F.struct("name", "models", "joinType", "condition"), F.struct("name", "statement", "properties")
+    size_of_relation = _bytes(F.col("name"), F.col("condition"), F.array_join("models", ","))
     kinds = {
-        "models": catalog_models(tables, catalog, values, options, max_value_bytes, oversize),
-        "relationships": parted(fetch_relationships(catalog, options), "name").select(
-            "project_id",
-            "part_no",
-            F.struct("name", "models", "joinType", "condition").cast(MDL_RELATIONSHIP).alias("item"),
+        "models": catalog_models(tables, catalog, first, options),
+        "relationships": fetch_relationships(catalog, options).select(
+            "project_id", "name", size_of_relation.alias("n_bytes"), relation.cast(MDL_RELATIONSHIP).alias("item")
         ),
-        "views": parted(views_of(catalog, options), "name").select(
-            "project_id", "part_no", F.struct("name", "statement", "properties").cast(MDL_VIEW).alias("item")
+        "views": views_of(catalog, options).select(
+            "project_id", "name", _bytes(F.col("name"), F.col("statement"), F.col("properties")).alias("n_bytes"), view.cast(MDL_VIEW).alias("item")
         ),
     }
+    if lists is not None:
+        kinds["columnValues"] = further_values(lists, tables)
     rows = None
-    for kind, items in kinds.items():
+    for number, (kind, items) in enumerate(kinds.items()):
         part = items.select(
             "project_id",
-            "part_no",
+            F.lit(number).alias("kind"),
+            "name",
+            "n_bytes",
             *[(F.col("item") if k == kind else F.lit(None).cast(LISTS[k])).alias(k) for k in kinds],
         )
         rows = part if rows is None else rows.unionByName(part)
-    return (
-        rows.groupBy("project_id", "part_no")
-        .agg(*[F.sort_array(F.collect_list(kind)).alias(kind) for kind in kinds])
-        .withColumn("metrics", empty_list(MDL_METRIC))
-    )
-
-
-def _project_sizes(catalog: Catalog, options: Options) -> DataFrame:
-    """Resources per project; foreign keys are counted by the columns they refer to."""
-    foreign = catalog.constraints.where(F.col("constraint_type") == "FOREIGN KEY").select(*RELATION_KEYS)
-    counted = [
-        base_tables(catalog, options).select("project_id"),
-        catalog.constraint_columns.join(foreign, RELATION_KEYS, "left_semi").where(named(options)).select("project_id"),
-        catalog.views.where(named(options)).select("project_id"),
-    ]
-    return counted[0].unionAll(counted[1]).unionAll(counted[2]).groupBy("project_id").agg(F.count("*").alias("n"))
+    parts = number_parts(checkpointed(rows), "name", "n_bytes", options.mdl_part_bytes, options.mdl_part_size)
+    built = parts.groupBy("project_id", "_bucket", "part_no").agg(*[F.sort_array(F.collect_list(kind)).alias(kind) for kind in kinds])
+    for name, element in LISTS.items():
+        if name not in kinds:
+            built = built.withColumn(name, empty_list(element))
+    return built.select("project_id", "part_no", *LISTS)
 
 
 def _list_json(items: Column, shown) -> Column:
@@ -233,18 +230,32 @@ def mdl_json(mdl: DataFrame, options: Options, schema_url: str | None = None) ->
                 ),
             ),
         ),
+        (
+            "columnValues",
+            F.when(
+                F.size("columnValues") > 0,
+                _list_json(
+                    F.col("columnValues"),
+                    lambda v: _object(*_scalars(v, "model", "column"), *[(n, v[n].cast("string")) for n in ("part", "place")], ("values", v["values"])),
+                ),
+            ),
+        ),
         ("enumDefinitions", F.lit("[]")),
         ("part", F.when(F.col("part_no") > 0, F.col("part_no").cast("string"))),
     )
     return mdl.select("project_id", "part_no", document.alias("mdl"))
 
 
-def write_mdl(mdl: DataFrame, path: str, options: Options, schema_url: str | None = None) -> None:
-    """Write the documents as text lines, one per part, in a folder per project."""
+def write_mdl(mdl: DataFrame, path: str, options: Options, schema_url: str | None = None, keep_others: bool = False) -> None:
+    """Write the documents as text lines, one per part, in a folder per project.
+
+    With `keep_others`, folders of other projects stay.
+    """
     (
         mdl_json(mdl, options, schema_url)
         .select("project_id", F.col("mdl").alias("value"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
         .partitionBy("project_id")
         .text(path)
     )

@@ -8,8 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
 from catalogsearch.schemas import COLUMN_VALUES
-from catalogsearch.sources.catalog import text_columns
+from catalogsearch.sources.catalog import Catalog, columns_of, text_columns
+from catalogsearch.sources.parts import cut_values
+from catalogsearch.options import Options
 
 # Type names of profiled columns in a PostgreSQL catalog.
 TEXT_TYPES = ("character varying", "varchar", "text")
@@ -22,6 +25,20 @@ def profiled_columns(columns: DataFrame) -> DataFrame:
     return columns.where(F.lower("data_type").isin(*TEXT_TYPES))
 
 
+def catalog_columns(catalog: Catalog, tables: Mapping[str, DataFrame], project_id: str, options: Options) -> dict[str, list[str]]:
+    """The columns of given tables that the catalog has as text, for `fetch_unique_values`.
+
+    Only columns that the tables have are listed, so the list is no longer than their schemas.
+    """
+    known = [(name, column) for name, frame in tables.items() for column in frame.columns]
+    listed = catalog.columns.sparkSession.createDataFrame(known, "table_name string, column_name string")
+    own = profiled_columns(columns_of(catalog, options)).where(F.col("project_id") == project_id)
+    out: dict[str, list[str]] = {}
+    for row in own.join(F.broadcast(listed), ["table_name", "column_name"]).orderBy("table_name", "ordinal_position").select("table_name", "column_name").collect():
+        out.setdefault(row["table_name"], []).append(row["column_name"])
+    return out
+
+
 def fetch_unique_values(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -32,7 +49,7 @@ def fetch_unique_values(
 
     Each table is scanned once whatever the number of its text columns, and one shuffle by
     value serves all tables; a value that fills most of a column is merged before it.
-    `columns` names the profiled columns per table where the types do not tell.
+    `columns` names the profiled columns per table, as `catalog_columns` does, where the types do not tell.
     """
 
     def cells(name: str, frame: DataFrame) -> DataFrame | None:
@@ -60,24 +77,19 @@ def column_value_sizes(values: DataFrame) -> DataFrame:
     )
 
 
-def nest_values(values: DataFrame, max_bytes: int, oversize: str = "error") -> DataFrame:
-    """One row per column with its sorted values as a JSON list.
+def nest_values(values: DataFrame, part_bytes: int) -> DataFrame:
+    """The sorted values of each column as JSON lists: `(project_id, table_name, column_name, part, unique_values)`.
 
-    A list must fit in one row, so its size is known before it is built. A column beyond
-    `max_bytes` fails the job by name; with `oversize="long_form"` it gets no list, and its
-    values stay, whole, in the long table that was passed in.
+    A column within `part_bytes` is one list, part 0. A larger one is several, each of about that size, whose parts continue
+    each other. `values` is read twice: pass a written table.
     """
-    if oversize not in ("error", "long_form"):
-        raise ValueError(f"oversize must be 'error' or 'long_form', not {oversize!r}")
-    fits = F.col("n_bytes") <= max_bytes
-    if oversize == "error":
-        where = F.concat_ws(".", *VALUE_KEYS)
-        fits = F.when(fits, True).otherwise(
-            F.raise_error(F.concat(F.lit("values too large for one row: "), where)).cast("boolean")
-        )
-    small = column_value_sizes(values).where(fits).select(*VALUE_KEYS)
-    return (
-        values.join(small, VALUE_KEYS, "left_semi")
-        .groupBy(*VALUE_KEYS)
-        .agg(F.to_json(F.array_sort(F.collect_list("value"))).alias("unique_values"))
-    )
+    large = checkpointed(column_value_sizes(values).where(F.col("n_bytes") > part_bytes).select(*VALUE_KEYS))
+    listed = F.to_json(F.array_sort(F.collect_list("value"))).alias("unique_values")
+    whole = values.join(large, VALUE_KEYS, "left_anti").groupBy(*VALUE_KEYS).agg(listed).withColumn("part", F.lit(0))
+    if large.isEmpty():
+        return whole.select(*VALUE_KEYS, "part", "unique_values")
+    # Written, so that the ranges are the same for all that reads them.
+    ranges = checkpointed(values.join(large, VALUE_KEYS, "left_semi").repartitionByRange(*VALUE_KEYS, "value").withColumn("_task", F.spark_partition_id()))
+    cut = cut_values(ranges, VALUE_KEYS, "value", part_bytes, "_task")
+    parts = cut.groupBy(*VALUE_KEYS, "part").agg(listed)
+    return whole.select(*VALUE_KEYS, "part", "unique_values").unionByName(parts)

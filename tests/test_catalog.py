@@ -1,14 +1,20 @@
 """Catalog facts, value profiles and MDL building."""
 
+import dataclasses
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
+from catalogsearch.operators.documents import schema_documents
+from catalogsearch.operators.lookup import assemble
 from catalogsearch.options import Options
-from catalogsearch.schemas import CATALOG
+from catalogsearch.schemas import CATALOG, CONTENT
 from catalogsearch.sources import catalog as cat
 from catalogsearch.sources import mdl, profile
+from catalogsearch.sources.parts import number_parts
 
 OPTIONS = Options(table_prefix="s_")
 
@@ -186,15 +192,73 @@ def test_large_project_is_split_without_loss(spark, catalog, tmp_path):
     assert sorted(r["part_no"] for r in parsed.collect()) == sorted(r["part_no"] for r in built.collect())
 
 
-def test_oversize_values(spark):
-    values = spark.createDataFrame(
-        [("p", "t", "small", "a"), ("p", "t", "big", "a" * 50), ("p", "t", "big", "b" * 60)],
-        "project_id string, table_name string, column_name string, value string",
-    )
-    with pytest.raises(Exception, match="values too large for one row: p.t.big"):
-        profile.nest_values(values, 100).collect()
-    assert [r["unique_values"] for r in profile.nest_values(values, 100, "long_form").collect()] == ['["a"]']
-    assert profile.nest_values(values, 110).count() == 2
+def values_of(spark, rows):
+    return spark.createDataFrame(rows, "project_id string, table_name string, column_name string, value string")
+
+
+def test_long_lists_of_values_go_on(spark):
+    rows_ = [("p", "t", "small", "a")] + [("p", "t", "big", f"{i:04}" + "x" * (i % 60)) for i in range(900)] + [("p", "t", "wide", "w" * 5_000), ("p", "t", "wide", "v")]
+    lists = profile.nest_values(values_of(spark, rows_), 1_000).collect()
+    by_column = {}
+    for r in sorted(lists, key=lambda r: r["part"]):
+        by_column.setdefault(r["column_name"], []).append(json.loads(r["unique_values"]))
+    assert [r["part"] for r in lists if r["column_name"] == "small"] == [0]
+    for column, parts in by_column.items():
+        assert [v for part in parts for v in part] == sorted(v for _, _, c, v in rows_ if c == column)
+        assert all(sum(len(v) + 3 for v in part[:-1]) <= 1_000 for part in parts)
+    assert len(by_column["big"]) >= 30 and sorted(r["part"] for r in lists if r["column_name"] == "big") == list(range(len(by_column["big"])))
+
+
+def test_every_value_is_found_in_documents_and_schemas(spark, catalog, tmp_path):
+    """Lists in parts, written, read, turned to documents and put together again."""
+    wanted = [("p", "s_a", "y", f"value {i:05} é\"" + "y" * (i % 50)) for i in range(2_000)] + [("p", "s_b", "k1", "one")]
+    small = Options(table_prefix="s_", value_part_bytes=2_000, mdl_part_bytes=8_000)
+    built = checkpointed(mdl.build_mdl(catalog, values_of(spark, wanted), small))
+    assert built.where("size(columnValues) > 0").count() > 5
+    path = str(tmp_path / "mdl")
+    mdl.write_mdl(built, path, small)
+    parsed, rejects = mdl.validate_mdl(mdl.read_mdl(spark, path))
+    docs = checkpointed(schema_documents(parsed, small))
+    assert rejects.isEmpty() and docs.count() == docs.select("id").distinct().count()
+    chunks = docs.select(F.lit("q").alias("query_id"), "project_id", "name", "ord", F.from_json("content", CONTENT).alias("content"))
+    commands = assemble(chunks, "ord").where("project_id = 'p' AND name = 's_a'").select(F.explode("commands").alias("c"))
+    shown = commands.where("c.name = 'y'").head()["c"]["comment"].split("\n")
+    lists = [json.loads(line.strip()[3:])["uniqueValues"] for line in shown if "uniqueValues" in line]
+    assert [v for part in lists for v in part] == sorted(v for _, t, _, v in wanted if t == "s_a") and len(lists) > 20
+    whole = Options(table_prefix="s_")
+    one = mdl.build_mdl(catalog, values_of(spark, wanted), whole)
+    assert one.where("project_id = 'p'").count() == 1 and one.where("size(columnValues) > 0").isEmpty()
+
+
+def test_parts_are_cut_by_bytes(spark):
+    random = np.random.default_rng(5)
+    sizes = [(p, 0, f"n{i}", int(s)) for p, n in (("hot", 5_000), ("few", 3)) for i, s in enumerate(random.pareto(1.0, n) * 50)]
+    sizes += [("many", 1, f"m{i}", 1) for i in range(1_000)] + [("hot", 1, "n1", 77), ("hot", 0, "n2", 10**7)]
+    items = spark.createDataFrame(sizes, "project_id string, kind int, name string, n_bytes bigint")
+    got = number_parts(items, "name", "n_bytes", 10_000, 100).collect()
+    assert sorted((r["project_id"], r["kind"], r["name"], r["n_bytes"]) for r in got) == sorted(sizes)
+    parts = {}
+    for r in got:
+        parts.setdefault((r["project_id"], r["part_no"]), []).append(r["n_bytes"])
+    assert all(len(p) <= 100 and (sum(p) <= 10_000 or len(p) == 1) for p in parts.values())
+    for project in ("hot", "few", "many"):
+        numbers = sorted(n for p, n in parts if p == project)
+        assert numbers[0] == 0 and numbers[-1] <= 1.1 * len(numbers)
+    assert len([p for p in parts if p[0] == "few"]) == 1 and len([p for p in parts if p[0] == "many"]) <= 30
+    bytes_of_hot = sum(s for p, _, _, s in sizes if p == "hot")
+    assert len([p for p in parts if p[0] == "hot"]) <= 4 * (5_002 / 100 + bytes_of_hot / 10_000)
+
+
+def test_profiled_columns_come_from_the_catalog(spark):
+    frame = spark.createDataFrame([(1, "x", "y", "z")], "id int, s_name string, s_kind string, s_other string")
+    known = cat.catalog_of(spark, {"s_t": frame}, "p")
+    types_ = {"s_name": "Character Varying", "s_kind": "jsonb", "id": "text"}
+    kind = F.create_map(*[F.lit(x) for pair in types_.items() for x in pair])
+    known = dataclasses.replace(known, columns=known.columns.withColumn("data_type", F.coalesce(F.try_element_at(kind, "column_name"), "data_type")))
+    chosen = profile.catalog_columns(known, {"s_t": frame, "s_absent": frame}, "p", OPTIONS)
+    assert chosen == {"s_t": ["id", "s_name"]}
+    values = profile.fetch_unique_values(spark, {"s_t": frame}, "p", chosen)
+    assert sorted((r["column_name"], r["value"]) for r in values.collect()) == [("id", "1"), ("s_name", "x")]
 
 
 def test_catalog_of_frames(spark):

@@ -44,7 +44,8 @@ def hub_mdl(spark):
 
 @pytest.fixture
 def own_partitions(spark):
-    own = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    """Six partitions, and no lookup so small that it would be shipped whole."""
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
     before = {k: spark.conf.get(k) for k in own}
     for k, v in own.items():
         spark.conf.set(k, v)
@@ -54,7 +55,7 @@ def own_partitions(spark):
 
 
 def rows_by_task(frame):
-    """Rows of each task of the last stage, before adaptive execution packs any together."""
+    """Rows of each task of the last stage."""
     return [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("task")).count().collect()]
 
 

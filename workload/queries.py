@@ -125,7 +125,7 @@ def m1_validate_mdl(spark: SparkSession, sf: str) -> DataFrame:
         )
     )
     rows, rejects = mdl_source.validate_mdl(texts)
-    lists = list(mdl_source.LISTS)
+    lists = ["models", "relationships", "views", "metrics"]
     accepted = rows.select(
         "project_id", "part_no", F.lit(True).alias("accepted"), *[F.size(name).alias(f"n_{name}") for name in lists]
     )
