@@ -11,6 +11,7 @@ from catalogsearch.checkpoints import checkpointed
 from catalogsearch.operators.documents import schema_documents
 from catalogsearch.operators.lookup import assemble
 from catalogsearch.options import Options
+from catalogsearch.plans.build import build_if_absent, project_digests
 from catalogsearch.schemas import CATALOG, CONTENT
 from catalogsearch.sources import catalog as cat
 from catalogsearch.sources import mdl, profile
@@ -270,3 +271,37 @@ def test_catalog_of_frames(spark):
     ]
     assert got.views.count() == 0
     assert cat.text_columns(frame) == ["s_name"]
+
+
+def test_only_missing_and_changed_projects_are_built(spark, catalog, tmp_path):
+    path = str(tmp_path / "mdl")
+
+    def run(given, values=None, **settings):
+        built = build_if_absent(given, values, path, OPTIONS, **settings)
+        return sorted(r["project_id"] for r in built.projects.collect()), {(r["project_id"], r["mdl"]) for r in built.documents.collect()}
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.txt")}
+
+    first, all_ = run(catalog)
+    before = files()
+    assert first == ["p", "q"] and {p for p, _ in all_} == {"p", "q"}
+    assert run(catalog) == ([], all_) and files() == before
+    shuffled = dataclasses.replace(catalog, columns=catalog.columns.orderBy(F.rand(3)).repartition(3))
+    assert run(shuffled) == ([], all_)
+    text = dataclasses.replace(catalog, tables=catalog.tables.withColumn("comment", F.when(F.col("project_id") == "q", "new").otherwise(F.col("comment"))))
+    assert run(text, refresh=False) == ([], all_)
+    projects, documents_ = run(text)
+    assert projects == ["q"] and {d for d in documents_ if d[0] == "p"} == {d for d in all_ if d[0] == "p"} and '"new"' in dict(documents_)["q"]
+    values = values_of(spark, [("p", "s_a", "y", "v")])
+    assert run(text, values)[0] == ["p", "q"] and run(text, values)[0] == []
+    assert run(text, values_of(spark, [("p", "s_a", "y", "w")]))[0] == ["p"]
+
+
+def test_nulls_that_change_places_change_the_digest(spark, catalog):
+    def digest(comment, kind):
+        row = [("p", "public", "t", kind, comment)]
+        given = dataclasses.replace(catalog, tables=spark.createDataFrame(row, CATALOG["cat_tables"]))
+        return project_digests(given, None, OPTIONS).where("project_id = 'p'").head()["digest"]
+
+    assert len({digest("a", None), digest(None, "a"), digest(None, None), digest("a", "a")}) == 4

@@ -141,6 +141,16 @@ ORACLE["c10_write_and_read_mdl"] = (
          FROM tab t LEFT JOIN col USING (project_id, table_name) WHERE table_type = 'BASE TABLE' GROUP BY ALL"""
 )
 
+ORACLE["c10_build_if_absent"] = (
+    CATALOG
+    + """SELECT t.project_id, t.table_name AS name, count(c.column_name)::INT AS n_columns,
+                any_value(t.comment) || CASE t.project_id WHEN '1-URGENT' THEN '!' ELSE '' END AS description,
+                CASE t.project_id WHEN '1-URGENT' THEN 2 ELSE 1 END AS n_builds
+         FROM tab t LEFT JOIN col c ON c.project_id = t.project_id AND c.table_name = t.table_name
+         WHERE table_type = 'BASE TABLE' GROUP BY t.project_id, t.table_name"""
+)
+ORACLE["c9_values_in_documents"] = VALUES
+
 # MDL to documents
 
 LINE_PIECES = f"""concat_ws(',',

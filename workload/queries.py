@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catalogsearch.checkpoints import checkpoint_folder, checkpointed
 from catalogsearch.functions import comments, filters, names, text, types
 from catalogsearch.operators import ddl, documents, embed, lookup, pruning, search
+from catalogsearch.plans.build import build_if_absent
 from catalogsearch.plans.index import index_projects
 from catalogsearch.plans.retrieve import Retrieval, apply_selections, retrieve, retrieve_embedded
 from catalogsearch.sources import catalog as cat
@@ -106,6 +107,38 @@ def c10_write_and_read_mdl(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def c10_build_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """Two projects, then all, then all with one changed table, then nothing new: how often each was built."""
+    path = f"{checkpoint_folder(spark)}/mdl-{uuid.uuid4()}"
+    whole = b.catalog(spark, sf)
+    some = whole.tables.where("project_id < '3'").select("project_id").distinct()
+    few = dataclasses.replace(whole, **{f.name: store.of_projects(getattr(whole, f.name), some, "left_semi") for f in dataclasses.fields(whole)})
+    urgent = F.when(F.col("project_id") == "1-URGENT", F.concat("comment", F.lit("!"))).otherwise(F.col("comment"))
+    changed = dataclasses.replace(whole, tables=whole.tables.withColumn("comment", urgent))
+    runs = [build_if_absent(c, None, path, OPTIONS) for c in (few, whole, changed, changed)]
+    builds = [r.projects.select("project_id", F.lit(i).alias("run")) for i, r in enumerate(runs)]
+    counted = builds[0].unionByName(builds[1]).unionByName(builds[2]).unionByName(builds[3]).groupBy("project_id").agg(F.count("*").alias("n_builds"))
+    parsed, _ = mdl_source.validate_mdl(runs[-1].documents)
+    models = parsed.select("project_id", F.explode("models").alias("m"))
+    shown = models.select("project_id", F.col("m.name").alias("name"), F.size("m.columns").alias("n_columns"), F.get_json_object("m.properties", "$.description").alias("description"))
+    return shown.join(counted, "project_id")
+
+
+@query
+def c9_values_in_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every value of every text column, from lists cut at 4 KB, found again in the schema documents."""
+    tables = {name: b.table(spark, sf, name) for name in b.TABLES}
+    options = dataclasses.replace(OPTIONS, table_prefix="", value_part_bytes=4096, mdl_part_bytes=65_536)
+    values = checkpointed(profile.fetch_unique_values(spark, tables, "tables"))
+    built = checkpointed(mdl_source.build_mdl(cat.catalog_of(spark, tables, "tables"), values, options))
+    parsed, _ = mdl_source.validate_mdl(mdl_source.mdl_json(built, options))
+    docs = documents.schema_documents(parsed, options)
+    commands = docs.select("project_id", "name", F.explode(F.from_json("content", lookup.CONTENT)["columns"]).alias("c"))
+    listed = F.from_json(F.regexp_extract("c.comment", r"(?s)^-- (\{.*\})\n  $", 1), "uniqueValues array<string>")["uniqueValues"]
+    return commands.select("project_id", F.col("name").alias("table_name"), F.col("c.name").alias("column_name"), F.explode(listed).alias("value"))
+
+
 # MDL to documents
 
 
