@@ -142,7 +142,11 @@ class PieceEncoder:
 
 
 class TokenizerPieces(PieceEncoder):
-    """Equal to `Tokenizer.encode` of the whole text; strings of special tokens in a text are ordinary text."""
+    """Equal to `Tokenizer.encode(text, add_special_tokens=False)` of the whole text.
+
+    That call takes the string of a special token in a text for the token, before anything else is looked at. So such a text
+    is cut there, and what stands between is encoded by itself.
+    """
 
     def __init__(self, path: str, spaces: bool, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
@@ -150,7 +154,9 @@ class TokenizerPieces(PieceEncoder):
         super().__init__(cache_pieces)
         self.spaces = spaces
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        special = {t.content: i for i, t in self.plain.get_added_tokens_decoder().items()}
+        self.special = {text: np.array([i], "<u4").tobytes() for text, i in special.items()}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         vocabulary = self.plain.get_vocab()
         self.bound = np.zeros(max(vocabulary.values()) + 1, bool)
         space = "Ġ"  # how a byte-level vocabulary writes a space
@@ -161,6 +167,17 @@ class TokenizerPieces(PieceEncoder):
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        if not odd:
+            return super().encode(texts)
+        parts = [self.at_special.split(texts[i]) for i in odd]
+        between = [p for part in parts for p in part[::2]]
+        chosen = set(odd)
+        ids = iter(super().encode(between + [t for i, t in enumerate(texts) if i not in chosen]))
+        joined = {i: b"".join(self.special[p] if k % 2 else next(ids) for k, p in enumerate(part)) for i, part in zip(odd, parts, strict=True)}
+        return [joined[i] if i in chosen else next(ids) for i in range(len(texts))]
+
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Plain pieces are encoded in one text, whose ids show where each begins (a space) or ends (an end of word)."""
         learned, plain = {}, []

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -31,7 +32,8 @@ SF = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-ODD = st.text(alphabet=st.sampled_from(" \n\t\x85\xa0\x1c\u3000aBé\u0301'sl1²!?.,<|>Ωİßǅ日🙂\x00"), max_size=40)
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "|>", " ", "a", "Bc.", "\n", "<|ENDOFTEXT|>"]), max_size=9).map("".join)
+ODD = SPECIAL | st.text(alphabet=st.sampled_from(" \n\t\x85\xa0\x1c\u3000aBé\u0301'sl1²!?.,<|>Ωİßǅ日🙂\x00"), max_size=40)
 
 
 def words(n, seed):
@@ -45,7 +47,7 @@ def odd(spark):
     long = words(60_000, 1)
     shared = words(90, 2)
     rows = [
-        (None, words(60, 3)), (None, None), (1, None), (2, ""), (3, " \n\t "), (4, long), (5, long + " end"),
+        (13, "<|endoftext|>" + words(3, 3) + "<|startoftext|> x<|endoftext|>"), (None, words(60, 3)), (None, None), (1, None), (2, ""), (3, " \n\t "), (4, long), (5, long + " end"),
         (6, words(70, 4)), (6, words(70, 4)), (7, words(70, 5)), (7, words(80, 6)), (8, words(70, 4)),
         (9, words(30, 7) + " " + shared + " " + words(30, 8)), (10, words(20, 9) + " " + shared + " " + words(20, 10)), (11, "a"), (12, "aa" * 400),
     ]
@@ -71,12 +73,19 @@ def multiset(rows):
 def test_pieces_equal_whole_texts(texts):
     for path, spaces in ((WORDS, False), (BYTES, True)):
         plain = Tokenizer.from_file(path)
-        plain.encode_special_tokens = True
         want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
         assert TokenizerPieces(path, spaces).encode(texts) == want
         assert TokenizerPieces(path, spaces, cache_pieces=2).encode(texts) == want
 
 
+def test_special_tokens_are_the_librarys():
+    assert np.frombuffer(TokenizerPieces(BYTES, True).encode(["a<|endoftext|>b"])[0], "<u4").tolist() == [64, 50256, 65]
+    long = ("word " * 400_000 + "<|startoftext|>") * 5
+    for path, spaces in ((WORDS, False), (BYTES, True)):
+        want = Tokenizer.from_file(path).encode_batch_fast([long], add_special_tokens=False)[0].ids
+        assert np.frombuffer(TokenizerPieces(path, spaces).encode([long])[0], "<u4").tolist() == want
+
+
 def test_blocks_cut_before_white_space():
     text = words(500, 1)
     parts = list(blocks(text, 100))
@@ -134,6 +143,16 @@ def test_substrings_against_brute_force(spark, odd, small):
     assert remove_substrings(odd.limit(0)).count() == 0
 
 
+def test_texts_of_equal_hashes_under_one_id_are_kept_apart(spark):
+    """Two texts whose 32-bit hashes are equal, both without an id; a copy of one has an id."""
+    text = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512))
+    found = spark.range(400_000).select(text.alias("t")).withColumn("h", F.hash("t"))
+    same, other = found.groupBy("h").agg(F.sort_array(F.collect_list("t")).alias("ts")).filter("size(ts) > 1").orderBy("h").first()["ts"][:2]
+    frame = spark.createDataFrame([(None, same), (None, other), (1, same)], "doc_id long, text string")
+    got = multiset(remove_substrings(frame).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert got == brute_substrings([(d, t.encode()) for d, t in texts_of(frame)])
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 128), min_size=1, max_size=80))
 def test_differencing_deals_every_piece_once(sizes):
@@ -147,16 +166,17 @@ def test_packing(spark, odd, small):
         rows = packing.pack_documents(frame, BYTES, end_id=0).collect()
         plain = Tokenizer.from_file(BYTES)
         ids = {t: np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4") for _, t in texts_of(frame)}
-        docs = defaultdict(list)
-        for r in rows:
-            docs[r["doc_id"], r["doc_tokens"]].append((r["start"], r["length"], r["ids_crc32"]))
-        for d, t in texts_of(frame):
-            for start, length, crc in docs[d, len(ids[t])]:
-                if zlib.crc32(ids[t][start : start + length].tobytes()) == crc:
-                    break
-            else:
-                raise AssertionError(d)
-        assert sum(r["length"] for r in rows) == sum(len(ids[t]) for _, t in texts_of(frame))
+        pieces = Counter((r["doc_id"], r["doc_tokens"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+        for d, t in texts_of(frame):  # each document takes its own pieces away, one after the other, without a gap
+            own, start = ids[t], 0
+            while start < len(own):
+                found = next(k for k in pieces if k[:3] == (d, len(own), start) and k[4] == zlib.crc32(own[start : start + k[3]].tobytes()))
+                start += found[3]
+                pieces[found] -= 1
+                if not pieces[found]:
+                    del pieces[found]
+            assert start == len(own)
+        assert not pieces
         windows = defaultdict(list)
         for r in rows:
             windows[r["sequence_id"]].append((r["offset"], r["length"], r["padded"]))
@@ -273,6 +293,33 @@ def test_toxicity_on_held_out_labels(spark):
     assert clean.columns == ["doc_id", "text", "raw", "vector"] and 700 <= clean.count() <= 730
 
 
+def brute_features(text, lexicon):
+    """The features as their names say, by plain counting."""
+    lower, n_chars = text.lower(), max(1, len(text))
+    words_, raw = re.findall(r"[^\W\d_]+", lower), text.split()
+    n = max(1, len(words_))
+    whole = [w in lexicon for w in words_]
+    stem = [0.0 if h else max([lexicon.get(f"{k}:{w[:k]}", 0.0) for k in (4, 5, 6) if len(w) > k], default=0.0) for w, h in zip(words_, whole)]
+    hits = [i for i in range(len(words_)) if whole[i] or stem[i]]
+    near = [any(w in toxicity.YOU for w in words_[max(0, i - 5) : i + 6]) for i in hits]
+    mixed = toxicity.MIXED.findall(lower)
+    n_stem = sum(x > 0 for x in stem)
+    return [
+        sum(whole) / n, n_stem / n, np.log1p(sum(whole)), np.log1p(n_stem), sum(lexicon[words_[i]] if whole[i] else stem[i] for i in hits) / n,
+        sum(near) / max(1, len(hits)), sum(w in toxicity.YOU for w in words_) / n, sum(c.isupper() for c in text) / n_chars, sum(w.isupper() for w in raw) / n,
+        text.count("!") / n_chars, sum(not c.isalnum() and not c.isspace() for c in text) / n_chars, len(mixed) / n,
+        sum(m.translate(toxicity.READ_AS) in lexicon for m in mixed) / n, np.log1p(len(text)),
+    ]
+
+
+def test_toxicity_features_against_brute_force(small):
+    weights = {"idiot": 2.0, "scum": 1.5, "4:idio": 1.0, "6:idiots": 3.0, "5:scumb": 0.5, "4:thou": 0.25, "du": 0.1}
+    known, classes = toxicity.Lexicon(weights), toxicity.character_classes()
+    texts = ["", "You IDIOT! you id1ot s.c.u.m scumbags idiotsss", "DU du É日🙂 _x_ a1b 3.5 A.B", "\ud800 you idio idiot", "thou thous thousand Thous"] + [t for _, t in texts_of(small)]
+    for text in texts:
+        assert np.allclose(toxicity.features(text, known, classes), brute_features(text, weights))
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(odd, none).collect()} == {0.0}
@@ -374,13 +421,45 @@ def test_kept_documents_lose_their_boilerplate(spark):
     rows += [(i, t, s, 7) for i, t, s, _ in rows[:3]] + [(None, body[0] + f"\n{line}", "h", 8), (None, body[0], "other", 9), (200, f"{body[5]}\n{line}", "other", 10), (201, None, "h", 11)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, places int")
     got = {(r["doc_id"], r["places"]): r["text"] for r in line_quality.kept_documents(docs).collect()}
-    want = {(i, i): f"\n{b}\nmore\n" if i % 2 else b for i, b in enumerate(body)}
+    want = {(i, i): f"\n{b}\n" if i % 2 else b for i, b in enumerate(body)}  # the inner line goes as well
     want |= {(i, 7): want[i, i] for i in range(3)} | {(None, 8): body[0], (None, 9): body[0], (200, 10): f"{body[5]}\n{line}"}
     assert got == want and line_quality.kept_documents(docs).columns == docs.columns
     staged = corpus_pipeline.quality_stage(spark, docs.withColumn("n_chars", docs["doc_id"]), SF).collect()
     assert len(staged) == len(want) and all(r["n_chars"] == len(r["text"]) for r in staged)
 
 
+def test_footers_go_and_copies_keep_their_lines(spark):
+    """A header of two lines and a footer of three; exact and near copies of one text, more of them than other documents."""
+    head, foot = ["Site of the Day", "menu | home"], ["About us", "Terms and privacy", "(c) all of us"]
+    rows = [(i, "\n".join([*head, *(words(12, 40 * i + k) for k in range(8)), *foot]), "h", None) for i in range(80)]
+    base = [words(12, 90_000 + k) for k in range(20)]
+    rows += [(1000 + i, "\n".join([*base, *foot]), "h", None) for i in range(60)]
+    rows += [(2000 + i, "\n".join([f"edit{i} {x}" if k == i % 20 else x for k, x in enumerate(base)]), "h", None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    kept = {r["doc_id"]: r["text"] for r in line_quality.kept_documents(docs).collect()}
+    for i, text, _, _ in rows:
+        lines = text.split("\n")
+        if i < 1000:
+            assert kept[i] == "\n".join(lines[2:-3])
+        elif i < 2000:
+            assert kept[i] == "\n".join(lines[:-3])
+        elif i < 3000:
+            assert kept[i] == text
+    judged = {r["doc_id"]: r for r in line_quality.quality_rules(docs).collect()}
+    assert judged[5]["removed_chars"] == sum(len(x) for x in head + foot)
+
+
+def test_depleted_documents_are_rejected(spark):
+    """Pages that have hardly more than the long footer of their site."""
+    foot = [words(15, 60_000 + k) for k in range(4)]
+    rows = [(i, "\n".join([*(words(30, 100 * i + k) for k in range(8)), *foot]), "h") for i in range(100)]
+    rows += [(1000 + i, "\n".join([words(12, 70_000 + i), *foot]), "h") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = {r["doc_id"]: r for r in line_quality.quality_rules(docs).collect()}
+    assert all(r["kept"] == (i < 1000) and not r["base_failed"] for i, r in judged.items())
+    assert {r["doc_id"] for r in line_quality.kept_documents(docs).collect()} == set(range(100))
+
+
 def test_queries_give_their_columns(spark):
     wanted = {
         "op1_token_files": "doc_id start n_tokens ids_crc32", "op2_substring_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
