@@ -18,7 +18,7 @@ Every round is counting by key (partial aggregation) and a join with one row for
 task of its own; copies of a context count as one from the first round on.
 
 Defined results: a null text is empty; texts shorter than `LENGTH` lose nothing; equal rows are different documents, so
-each loses what they share; rows with the same doc_id are kept apart by a hash of their text; an empty table gives no
+each loses what they share; rows with the same doc_id are kept apart by a 64-bit hash of their text; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -43,9 +43,9 @@ PARTS = (28, 6, 1)
 BLOCK_BITS = 19
 
 ITEM = pa.schema([
-    ("key", pa.int64()), ("ext", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int64()), ("more", pa.int32()), ("anchor", pa.int32()),
+    ("key", pa.int64()), ("ext", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("more", pa.int32()), ("anchor", pa.int32()),
 ])
-ITEM_SQL = "key bigint, ext bigint, doc_id bigint, tie int, start bigint, more int, anchor int"
+ITEM_SQL = "key bigint, ext bigint, doc_id bigint, tie bigint, start bigint, more int, anchor int"
 RESULT_SQL = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start: bigint, stop: bigint>>"
 
 
@@ -105,7 +105,7 @@ def parts_of(data: np.ndarray, more: int, anchor: int, size: int) -> Iterator[tu
 def _texts(documents: DataFrame) -> DataFrame:
     """`tie` tells rows with the same doc_id apart."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.withColumn("tie", F.hash("text"))
+    return texts.withColumn("tie", F.xxhash64("text"))
 
 
 def initial_items(texts: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def _with_bytes(texts: DataFrame, items: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, pa.schema([ITEM.field(c) for c in ("doc_id", "tie", "start", "more", "anchor")] + [pa.field("bytes", pa.binary())]))
 
     # Equal rows yield the item twice; one of them stands for its context.
-    return joined.mapInArrow(run, "doc_id bigint, tie int, start bigint, more int, anchor int, bytes binary").dropDuplicates(["doc_id", "tie", "start"])
+    return joined.mapInArrow(run, "doc_id bigint, tie bigint, start bigint, more int, anchor int, bytes binary").dropDuplicates(["doc_id", "tie", "start"])
 
 
 def _parted(items: DataFrame, size: int) -> DataFrame:
