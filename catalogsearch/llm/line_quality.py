@@ -1,12 +1,13 @@
 """Operator 8: quality rules with cross-document line frequency, in DataFrame functions alone.
 
 Base rules judge a text by itself: at least `MIN_WORDS` words, and at most half of them in repeated three-word windows.
-The method then hashes every line, normalised to lower case and single spaces, and counts the distinct documents of a
-host (`source`) that hold it. A line is boilerplate if these are more than `MIN_DOCUMENTS` and more than `HOST_SHARE` of
-the host's documents, and if it stands between many different lines there: at least `DIFFERENT` of the documents differ
-in the line before or in the line after it. (Copies of one document share all their lines, but they do not make those
-lines boilerplate.) Boilerplate is removed, and a document that loses more than `DEPLETED` of its characters is rejected:
-`kept_documents` gives the texts that remain, and `quality_rules` the figures and verdicts.
+The method then hashes every line, normalised to lower case and single spaces, and counts the distinct texts of a host
+(`source`) that hold it: copies count once. A line is boilerplate if these are more than `MIN_DOCUMENTS` and more than
+`HOST_SHARE` of the host's distinct texts, and if they are different documents: near copies of one text share most of their
+lines too. So one line stands for each document, drawn by a hash with chances as the lines are long, which near copies mostly
+have in common; in one of `DRAWS` draws, there must be at least `DIFFERENT` times as many such lines as texts. Where the line stands in a document and what stands around it does not matter. Boilerplate is
+removed, and a document that loses more than `DEPLETED` of its characters is rejected: `kept_documents` gives the texts that
+remain, and `quality_rules` the figures and verdicts.
 
 Only lines over `MIN_DOCUMENTS` are looked at beyond the first count, which is a partial aggregation. Hot lines are single
 rows on one side of the joins, so adaptive execution can split the other.
@@ -27,6 +28,7 @@ REPEATED_PERCENT = 50
 MIN_DOCUMENTS = 20
 HOST_SHARE = 0.005
 DIFFERENT = 0.5
+DRAWS = 3
 DEPLETED = 0.75
 
 #: White space between words, and symbols.
@@ -72,45 +74,46 @@ def text_rules(documents: DataFrame) -> DataFrame:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """A row for each line with a word: its hash, its place, its length, whether it is the document's first such line,
-    the hashes of the lines around it, and the length of all the document's lines."""
+    """A row for each line with a word: its hash, its place, its length, whether it is the document's first such line, the
+    lines drawn for the document, and the length of all lines."""
     normal = F.transform(F.split("text", "\n"), lambda line: F.regexp_replace(F.btrim(F.lower(line), F.lit(SPACE)), SPACES, " "))
     kept = documents.withColumn("lines", F.filter(normal, lambda line: line != ""))
-    hashed = kept.withColumn("hashes", F.transform("lines", lambda line: F.xxhash64(line)))
-    hashes = F.col("hashes")
-    around = F.transform(
-        "lines",
-        lambda line, i: F.struct(
-            F.get(hashes, i).alias("line"), i.alias("place"), F.length(line).alias("size"),
-            F.get(hashes, i - 1).alias("before"), F.get(hashes, i + 1).alias("after"),
-        ),
-    )
-    ordered = hashed.select("doc_id", "text_hash", "host", F.sort_array(around).alias("found"))
+    def drawn(draw: int) -> Column:
+        """The line with the smallest lot; a line's lot is the smaller the longer it is."""
+
+        def lot(line: Column) -> Column:
+            number = F.conv(F.substring(line["md5"], 8 * draw + 1, 8), 16, 10).cast("bigint")
+            return F.struct((number / line["size"]).alias("lot"), line["hash"].alias("line"))
+
+        return F.array_min(F.transform("hashed", lot))["line"]
+
+    hashed = F.transform("lines", lambda line: F.struct(F.md5(line).alias("md5"), F.xxhash64(line).alias("hash"), F.length(line).alias("size")))
+    kept = kept.withColumn("hashed", hashed)
+    placed = F.transform("hashed", lambda x, i: F.struct(x["hash"].alias("line"), i.alias("place"), x["size"].alias("size")))
+    sample = F.array(*[drawn(draw) for draw in range(DRAWS)])
+    ordered = kept.select("doc_id", "text_hash", "host", sample.alias("sample"), F.sort_array(placed).alias("found"))
     found = F.col("found")
     total = F.aggregate(found, F.lit(0).cast("bigint"), lambda t, x: t + x["size"])
     numbered = ordered.select(
-        "doc_id", "text_hash", "host", total.alias("total"),
+        "doc_id", "text_hash", "host", "sample", total.alias("total"),
         F.transform(found, lambda x, i: F.struct(x.alias("x"), (~F.coalesce(x["line"] == F.get(found, i - 1)["line"], F.lit(False))).alias("first"))).alias("found"),
     )
     # An inner explode adds a filter on the array's size, which is pushed down and computes the array anew for each line.
-    rows = numbered.select("doc_id", "text_hash", "host", "total", F.explode_outer("found").alias("f")).filter("f IS NOT NULL")
-    return rows.select("doc_id", "text_hash", "host", "total", "f.x.*", "f.first")
+    rows = numbered.select("doc_id", "text_hash", "host", "sample", "total", F.explode_outer("found").alias("f")).filter("f IS NOT NULL")
+    return rows.select("doc_id", "text_hash", "host", "sample", "total", "f.x.*", "f.first")
 
 
 def frequent_lines(documents: DataFrame) -> DataFrame:
     """`host, line` of boilerplate, for documents with `doc_id, text_hash, host, text`."""
-    lines = _lines(documents)
+    lines = _lines(documents).filter("first")
     key = ["host", "line"]
-    counts = lines.filter("first").groupBy(*key, "doc_id", "text_hash").agg(F.first("before").alias("before"), F.first("after").alias("after"))
-    often = lines.filter("first").groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > MIN_DOCUMENTS).select(*key)
-    spread = (
-        counts.join(often, key)
-        .groupBy(*key)
-        .agg(F.count("*").alias("n"), F.greatest(F.countDistinct("before"), F.countDistinct("after")).alias("different"))
-        .filter((F.col("n") > MIN_DOCUMENTS) & (F.col("different") >= DIFFERENT * F.col("n")))
-    )
-    hosts = documents.select("host", "doc_id", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("documents"))
-    return spread.join(hosts, "host").filter(F.col("n") > HOST_SHARE * F.col("documents")).select(*key)
+    often = lines.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > MIN_DOCUMENTS).select(*key)
+    texts = lines.join(often, key).groupBy(*key, "text_hash").agg(F.first("sample").alias("sample"))
+    drawn = [F.countDistinct(F.col("sample")[draw]) for draw in range(DRAWS)]
+    spread = texts.groupBy(*key).agg(F.count("*").alias("n"), F.greatest(*drawn).alias("different"))
+    spread = spread.filter((F.col("n") > MIN_DOCUMENTS) & (F.col("different") >= DIFFERENT * F.col("n")))
+    hosts = documents.groupBy("host").agg(F.countDistinct("text_hash").alias("texts"))
+    return spread.join(hosts, "host").filter(F.col("n") > HOST_SHARE * F.col("texts")).select(*key)
 
 
 def _cleaned(rows: DataFrame, text: str) -> DataFrame:

@@ -10,6 +10,10 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _TRIM = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+_DRAWN = ", ".join(f"arg_min(line, ('0x' || substr(md5(line), {8 * i + 1}, 8))::BIGINT / length(line)) OVER (PARTITION BY r) AS s{i}" for i in range(q.DRAWS))
+_DIFFERENT = "greatest(" + ", ".join(f"count(DISTINCT s{i})" for i in range(q.DRAWS)) + ")"
+
+
 def line_quality_ctes(documents: str) -> str:
     """WITH items that end in `judged`: a row for each document."""
     return rf"""
@@ -27,13 +31,13 @@ base AS (
   FROM words LEFT JOIN dup USING (r) LEFT JOIN repeated USING (r)),
 spaced AS (SELECT r, host, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(trim(lower(x), {_TRIM}), '{_SPACE}+', ' ', 'g')), lambda x: x <> '') AS ls FROM docs),
 lines AS (SELECT r, host, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM spaced),
-around AS (SELECT *, lag(line) OVER (PARTITION BY r ORDER BY p) AS b, lead(line) OVER (PARTITION BY r ORDER BY p) AS a,
-  row_number() OVER (PARTITION BY r, line ORDER BY p) AS k, sum(length(line)) OVER (PARTITION BY r) AS total FROM lines),
-hosts AS (SELECT host, count(*) AS n FROM docs GROUP BY host),
+placed AS (SELECT *, row_number() OVER (PARTITION BY r, line ORDER BY p) AS k, sum(length(line)) OVER (PARTITION BY r) AS total,
+  {_DRAWN} FROM lines),
+hosts AS (SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host),
 often AS (
-  SELECT host, line FROM around JOIN hosts USING (host) WHERE k = 1 GROUP BY host, line, hosts.n
-  HAVING count(*) > {q.MIN_DOCUMENTS} AND greatest(count(DISTINCT b), count(DISTINCT a)) >= {q.DIFFERENT} * count(*) AND count(*) > {q.HOST_SHARE} * hosts.n),
-lost AS (SELECT r, sum(length(line)) AS removed, max(total) AS total FROM around JOIN often USING (host, line) GROUP BY r),
+  SELECT host, line FROM placed JOIN docs USING (r, host) JOIN hosts USING (host) WHERE k = 1 GROUP BY host, line, hosts.n
+  HAVING count(DISTINCT text) > {q.MIN_DOCUMENTS} AND {_DIFFERENT} >= {q.DIFFERENT} * count(DISTINCT text) AND count(DISTINCT text) > {q.HOST_SHARE} * hosts.n),
+lost AS (SELECT r, sum(length(line)) AS removed, max(total) AS total FROM placed JOIN often USING (host, line) GROUP BY r),
 judged AS (
   SELECT base.r, doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, coalesce(removed, 0) AS removed_chars,
     n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.REPEATED_PERCENT} * n_words AS base_failed,
