@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -42,6 +44,7 @@ TREES = 20
 
 WORD = re.compile(r"[^\W\d_]+")
 #: A word in which a digit or sign stands between letters, as in `id1ot` or `s.c.u.m`.
+SIGN_BEFORE_LETTER = re.compile(r"[0-9@$!*.\-_][^\W\d_]")
 MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!*.\-_]+[^\W\d_]+)+")
 #: Second-person words of the four languages, and signs that are read as letters.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
@@ -63,28 +66,57 @@ def terms_of(words: Iterable[str]) -> set[str]:
     return distinct | {f"{n}:{w[:n]}" for w in distinct for n in STEMS if len(w) > n}
 
 
-def features(text: str, lexicon: dict[str, float]) -> list[float]:
+class Lexicon:
+    """Weights of whole words and of stems, looked up by their first letters."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.words = {t: w for t, w in weights.items() if ":" not in t}
+        self.stems = {n: {t[2:]: w for t, w in weights.items() if t.startswith(f"{n}:")} for n in STEMS}
+        self.heads = {t[: STEMS[0]] for stems in self.stems.values() for t in stems}
+
+    def of_stems(self, distinct: set[str]) -> dict[str, float]:
+        """The largest weight of a stem, for words that have one and are longer."""
+        short = STEMS[0]
+        heads, out = self.heads, {}
+        for word in [w for w in distinct if w[:short] in heads]:
+            weight = max((self.stems[n].get(word[:n], 0.0) for n in STEMS if len(word) > n), default=0.0)
+            if weight:
+                out[word] = weight
+        return out
+
+
+def character_classes() -> np.ndarray:
+    """For every code point: 1 for a capital, 2 for a sign, else 0."""
+    classes = np.zeros(sys.maxunicode + 1, np.uint8)
+    for i in range(sys.maxunicode + 1):
+        x = chr(i)
+        if x.isupper():
+            classes[i] = 1
+        elif not x.isalnum() and not x.isspace():
+            classes[i] = 2
+    return classes
+
+
+def features(text: str, lexicon: Lexicon, classes: np.ndarray) -> list[float]:
     lower = text.lower()
     words = WORD.findall(lower)
     n = max(1, len(words))
     distinct = set(words)
-    whole = {w for w in distinct if w in lexicon}
-    stems = {w: weight for w in distinct if w not in whole for weight in [max((lexicon.get(f"{k}:{w[:k]}", 0.0) for k in STEMS if len(w) > k), default=0.0)] if weight}
+    whole = distinct & lexicon.words.keys()
+    stems = lexicon.of_stems(distinct - whole if whole else distinct)
     hits = [i for i, w in enumerate(words) if w in whole or w in stems] if whole or stems else []
     n_whole = sum(words[i] in whole for i in hits)
     n_stems = len(hits) - n_whole
-    weight = sum(lexicon[words[i]] if words[i] in whole else stems[words[i]] for i in hits)
-    near = sum(any(w in YOU for w in words[max(0, i - NEAR) : i + NEAR + 1]) for i in hits)
-    counts = Counter(text)
-    capitals = sum(c for x, c in counts.items() if x.isupper())
-    signs = sum(c for x, c in counts.items() if not x.isalnum() and not x.isspace())
-    mixed = MIXED.findall(lower)
-    uncovered = sum(m.translate(READ_AS) in lexicon for m in mixed)
+    weight = sum(lexicon.words[words[i]] if words[i] in whole else stems[words[i]] for i in hits)
+    near = sum(not YOU.isdisjoint(words[max(0, i - NEAR) : i + NEAR + 1]) for i in hits)
+    counts = np.bincount(classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=3).tolist()
+    mixed = MIXED.findall(lower) if SIGN_BEFORE_LETTER.search(lower) else []
+    uncovered = sum(m.translate(READ_AS) in lexicon.words for m in mixed)
     size = max(1, len(text))
     return [
         n_whole / n, n_stems / n, math.log1p(n_whole), math.log1p(n_stems), weight / n, near / max(1, len(hits)),
-        sum(w in YOU for w in words) / n, capitals / size, sum(w.isupper() for w in text.split()) / n,
-        counts["!"] / size, signs / size, len(mixed) / n, uncovered / n, math.log1p(len(text)),
+        sum(map(words.count, distinct & YOU)) / n, counts[1] / size, sum(map(str.isupper, text.split())) / n,
+        text.count("!") / size, counts[2] / size, len(mixed) / n, uncovered / n, math.log1p(len(text)),
     ]
 
 
@@ -95,12 +127,13 @@ def with_features(documents: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     nested = documents.columns == ["row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_by_worker(("toxicity",), dict)
+        classes = kept_by_worker(("character classes",), character_classes)
+        known = Lexicon(lexicon)
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 some = batch.slice(first, 512)
                 texts = some["row"].field("text") if nested else some["text"]
-                rows = [features(t or "", lexicon) for t in texts.to_pylist()]
+                rows = [features(t or "", known, classes) for t in texts.to_pylist()]
                 columns = [pa.array(c, pa.float64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[some[f.name] for f in others], *columns], [*[f.name for f in others], *FEATURES])
 
@@ -157,7 +190,7 @@ class ToxicityModel:
         if not all(fits):
             return cls({}, None, None, both[1] / max(1, sum(both)))
         lexicon = learn_lexicon(rows.filter("part < 4").select("text", "toxic"))
-        table = written(cls._vectors(with_features(rows.select("doc_id", "text", "toxic", "part"), lexicon)).coalesce(4), "features")
+        table = written(cls._vectors(with_features(rows.select("doc_id", "text", "toxic", "part"), lexicon)), "features").coalesce(4)  # vectors of `sample` rows
         trees = GBTClassifier(featuresCol="vector", labelCol="toxic", maxIter=TREES, maxDepth=3, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(table.filter("part < 4"))
         calibrates = all(parts.get((False, y), 0) for y in (0, 1))
         scored = cls._raw(trees.transform(table.filter("part = 4") if calibrates else table))
