@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .pieces import encoder
 
 WINDOW = 1024
-PIECE = 128
+PIECE = 256
 GROUP = 256
 
 PIECES = pa.schema([
@@ -128,8 +128,8 @@ def pack_documents(documents: DataFrame, tokenizer: str, end_id: int, spaces: bo
             return batch
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                some = batch.slice(first, 1024)
+            for first in range(0, batch.num_rows, 4096):
+                some = batch.slice(first, 4096)
                 for doc, ids in zip(some["doc_id"].to_pylist(), codec.encode(some["text"].to_pylist()), strict=True):
                     data = ids + end
                     n = len(data) // 4

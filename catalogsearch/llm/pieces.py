@@ -33,7 +33,7 @@ PLAIN_WORD = re.compile(f"[{LETTERS}]+[.,]?")
 #: Pieces in a worker's cache, pieces encoded at a time, and characters that are cut at a time.
 CACHE_PIECES = 800_000
 MISSES = 2048
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 23
 
 
 def parts_runs(text: str) -> bool:
