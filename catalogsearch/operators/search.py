@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogsearch.checkpoints import checkpointed
 from catalogsearch.functions.vectors import score
 from catalogsearch.options import Options
 
@@ -67,14 +68,15 @@ def _cut(table: pa.Table, k: int) -> pa.Table:
     return table.filter(pa.array(rank < k))
 
 
-def _block_hits(rows: np.ndarray, q_unit, q_valid, ids: pa.Array, d_unit, d_valid, k: int) -> list[pa.Table]:
+def _block_hits(rows: np.ndarray, q_unit, q_valid, ids: pa.Array, projects: pa.Array, d_unit, d_valid, k: int) -> list[pa.Table]:
     """Nearest documents of one block for the questions in `rows`."""
     hits = []
     for start in range(0, len(rows), QUERY_ROWS):
         part = rows[start : start + QUERY_ROWS]
         dist = _distances(q_unit[part], q_valid[part], d_unit, d_valid)
         qi, di = _nearest(dist, k)
-        found = pa.table({"q": part[qi], "distance": dist[qi, di], "id": ids.take(pa.array(di))})
+        at = pa.array(di)
+        found = pa.table({"q": part[qi], "distance": dist[qi, di], "id": ids.take(at), "project_id": projects.take(at)})
         hits.append(_cut(found, k))
     return hits
 
@@ -87,6 +89,7 @@ def _hit_schema(queries: DataFrame, documents: DataFrame) -> T.StructType:
     return T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
+            T.StructField("project_id", T.StringType()),
             T.StructField("id", documents.schema["id"].dataType),
             T.StructField("distance", T.DoubleType()),
         ]
@@ -112,19 +115,20 @@ def _scan_hits(questions: pa.Table, queries: DataFrame, documents: DataFrame, k:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column("id")
+            ids, own_projects = batch.column("id"), batch.column("project_id")
             d_unit, d_valid = _unit_rows(batch.column("embedding"), q_unit.shape[1])
             hits = [] if best is None else [best]
             if None in rows_of:
-                hits += _block_hits(rows_of[None], q_unit, q_valid, ids, d_unit, d_valid, k)
+                hits += _block_hits(rows_of[None], q_unit, q_valid, ids, own_projects, d_unit, d_valid, k)
             projects = batch.column("project_id").dictionary_encode()
             codes = pc.fill_null(projects.indices, -1).to_numpy(zero_copy_only=False)
             for code, project in enumerate(projects.dictionary.to_pylist()):
                 if project is None or project not in rows_of:
                     continue
                 own = np.flatnonzero(codes == code)
+                at = pa.array(own)
                 hits += _block_hits(
-                    rows_of[project], q_unit, q_valid, ids.take(pa.array(own)), d_unit[own], d_valid[own], k
+                    rows_of[project], q_unit, q_valid, ids.take(at), own_projects.take(at), d_unit[own], d_valid[own], k
                 )
             if hits:
                 best = _cut(pa.concat_tables(hits), k)
@@ -132,6 +136,7 @@ def _scan_hits(questions: pa.Table, queries: DataFrame, documents: DataFrame, k:
             out = pa.table(
                 {
                     "query_id": query_ids.take(best.column("q").combine_chunks()),
+                    "project_id": best.column("project_id"),
                     "id": best.column("id"),
                     "distance": _null_if_infinite(best.column("distance")),
                 }
@@ -159,7 +164,7 @@ def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options:
     own = F.struct(F.lit(False).alias("everywhere"), F.col("project_id").alias("project"))
     all_projects = F.struct(F.lit(True).alias("everywhere"), F.lit("").alias("project"))
     listed = F.array_compact(F.array(F.when(F.col("project_id").isNotNull(), own), all_projects))
-    scoped = documents.select("id", "embedding", F.inline(listed))
+    scoped = documents.select("id", "project_id", "embedding", F.inline(listed))
 
     def sized(frame: DataFrame, block: int, name: str) -> DataFrame:
         return frame.groupBy(*scope).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
@@ -172,7 +177,7 @@ def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options:
         .join(doc_groups.select("*", salts), [*scope, "salt"])
         .withColumn("doc_group", F.pmod(F.xxhash64("id", F.lit("group")), F.col("n_groups")).cast("int"))
         .groupBy(*scope, "doc_group")
-        .agg(F.collect_list(F.struct("id", "embedding")).alias("docs"))
+        .agg(F.collect_list(F.struct("id", "project_id", "embedding")).alias("docs"))
     )
     blocks = (
         asked.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
@@ -192,11 +197,12 @@ def _block_join_hits(queries: DataFrame, documents: DataFrame, k: int, options:
                 q_unit, q_valid = _unit_rows(questions.field("embedding"))
                 d_unit, d_valid = _unit_rows(found.field("embedding"), q_unit.shape[1])
                 rows = np.arange(len(questions))
-                hits = _block_hits(rows, q_unit, q_valid, found.field("id"), d_unit, d_valid, k)
+                hits = _block_hits(rows, q_unit, q_valid, found.field("id"), found.field("project_id"), d_unit, d_valid, k)
                 table = pa.concat_tables(hits)
                 yield from pa.table(
                     {
                         "query_id": questions.field("query_id").take(table.column("q").combine_chunks()),
+                        "project_id": table.column("project_id"),
                         "id": table.column("id"),
                         "distance": _null_if_infinite(table.column("distance")),
                     }
@@ -225,33 +231,60 @@ def rank_first(
     return cut(frame, keys)
 
 
-def nearest_documents(queries: DataFrame, documents: DataFrame, k: int, options: Options = Options()) -> DataFrame:
-    """The k nearest documents of each question: `(query_id, id, rank, distance, score)`.
+def merged_by_group(hits: DataFrame, k: int, groups: int = SALTS) -> DataFrame:
+    """The k nearest of each question and group of tasks: at most `groups` times k rows of a question go on, however many
+    tasks have scanned documents."""
+    order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
+    grouped = hits.withColumn("_group", F.spark_partition_id() % groups)
+    return rank_first(grouped, ["query_id", "_group"], order, k).drop("_group", "rank")
 
-    `queries` has `query_id, project_id, embedding`; a null or empty project searches all
-    projects. `documents` has `id, project_id, embedding`. Distance is cosine; a vector that is
-    null or zero has none and ranks last. Ties are broken by id.
 
-    A question batch of up to `broadcast_queries` rows and `broadcast_bytes` is shipped to the
-    tasks that scan the documents. A larger one meets them in a join of blocks. Filter `documents` first: predicates
-    on its columns reach the scan.
-    """
+def found_documents(queries: DataFrame, documents: DataFrame, k: int, options: Options = Options()) -> DataFrame:
+    """`nearest_documents` with the project of each document: `(query_id, project_id, id, rank, distance, score)`."""
     queries = queries.select(
         "query_id", F.nullif(F.col("project_id").cast("string"), F.lit("")).alias("project_id"), "embedding"
     ).where(F.size("embedding") > 0)
     documents = documents.select("id", F.col("project_id").cast("string").alias("project_id"), "embedding")
     questions = queries.limit(options.broadcast_queries + 1).toArrow()
     if questions.num_rows <= options.broadcast_queries and questions.nbytes <= options.broadcast_bytes:
-        hits = _scan_hits(questions, queries, documents, k)
+        hits = merged_by_group(_scan_hits(questions, queries, documents, k), k)
     else:
         hits = _block_join_hits(queries, documents, k, options)
     order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
     return rank_first(hits, ["query_id"], order, k).withColumn("score", score(F.col("distance")))
 
 
+def nearest_documents(queries: DataFrame, documents: DataFrame, k: int, options: Options = Options()) -> DataFrame:
+    """The k nearest documents of each question: `(query_id, id, rank, distance, score)`.
+
+    `queries` has `query_id, project_id, embedding`; a null or empty project searches all
+    projects. `documents` has `id, project_id, embedding`. Distance is cosine; a vector that is
+    null or zero has none and ranks last. Ties are broken by id.
+
+    A question batch of up to `broadcast_queries` rows and `broadcast_bytes` is shipped to the
+    tasks that scan the documents; what they find is merged by group of tasks, then by question.
+    A larger one meets them in a join of blocks. Filter `documents` first: predicates
+    on its columns reach the scan.
+    """
+    return found_documents(queries, documents, k, options).drop("project_id")
+
+
+def of_project(documents: DataFrame, wanted: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Documents joined with a written table of wanted ones by project and other columns.
+
+    Documents without a project are met apart, so that the others are joined by the plain project: while `wanted` is small
+    enough to be shipped, Spark then reads the folders of its projects alone.
+    """
+    some = documents.join(wanted.where(F.col("project_id") >= ""), ["project_id", *keys], how)
+    none = documents.where(F.col("project_id").isNull())
+    rest = none.join(wanted.where(F.col("project_id").isNull()).drop("project_id"), keys, how)
+    return some.unionByName(rest)
+
+
 def with_documents(hits: DataFrame, documents: DataFrame, *columns: str) -> DataFrame:
-    """Adds document columns to hits. Text is read here, for the hits alone."""
-    return hits.join(documents.select("id", *columns), "id")
+    """Adds document columns to the hits of `found_documents`. Text is read here, for the hits alone, from their projects."""
+    own = documents.select("id", "project_id", *[c for c in columns if c not in ("id", "project_id")])
+    return of_project(own, checkpointed(hits), ["id"]).select(*hits.columns, *[c for c in columns if c not in hits.columns])
 
 
 def above_threshold(hits: DataFrame, threshold: float | None) -> DataFrame:

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogsearch.functions.vectors import cosine_distance
-from catalogsearch.operators.search import above_threshold, nearest_documents, rank_first
+from catalogsearch.operators.search import above_threshold, merged_by_group, nearest_documents, rank_first
 from catalogsearch.options import Options
+from catalogsearch.sources.store import DocumentStore, query_by_embedding
 
 SF = "/root/testdata/sf0.001"
 DOC = "id string, project_id string, embedding array<float>"
@@ -115,7 +116,8 @@ def test_documents_are_not_shuffled(spark):
     )
     queries = docs.where("id < 3").select(F.col("id").alias("query_id"), "project_id", "embedding")
     plan = nearest_documents(queries, docs, 5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+    # Hits are merged by group of tasks and then by question; below that nothing is moved.
+    assert plan.count("Exchange") == 2 and "WindowGroupLimit" in plan and "Exchange" not in plan[plan.index("MapInArrow") :]
 
 
 @pytest.mark.parametrize("k", [5, 1500])
@@ -150,3 +152,31 @@ def test_blocks_never_shuffle_documents_by_scope_alone(spark):
     assert by_scope and any("salt#" in line for line in lines if "hashpartitioning" in line)
     for i in by_scope:  # what lies directly under these are counts or blocks, never rows with a vector
         assert "embedding" not in lines[i + 1] or "collect_list" in lines[i + 1], lines[i + 1]
+
+
+def test_hits_are_merged_by_group_of_tasks(spark):
+    hits = spark.range(30_000).repartition(200).select(
+        (F.col("id") % 5).alias("query_id"), F.lit("p").alias("project_id"), "id", F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("distance")
+    )
+    merged = merged_by_group(hits, 7, 16)
+    assert merged.columns == hits.columns and merged.count() <= 16 * 5 * 7
+    order = [F.col("distance").asc_nulls_last(), F.col("id").asc()]
+    want = rank_first(hits, ["query_id"], order, 7)
+    got = rank_first(merged, ["query_id"], order, 7)
+    assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_content_is_read_from_the_projects_that_were_hit(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path / "s"))
+    rows = [(f"{p}{i}", p, "TABLE_DESCRIPTION", f"t{i}", f"text {p}{i}", [float(i), float(n)]) for n, p in enumerate(["a", "b", "c", None]) for i in range(20)]
+    store.write_documents(spark.createDataFrame(rows, "id string, project_id string, type string, name string, content string, embedding array<float>"))
+    asked = spark.createDataFrame([("q1", "b", [1.0, 1.0]), ("q2", None, [0.0, 3.0])], "query_id string, project_id string, embedding array<float>")
+    for queries in (asked, asked.where("project_id = 'b'")):
+        found = query_by_embedding(queries, store.read(), None, 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruning" in plan
+        got = {(r["query_id"], r["id"], r["content"]) for r in found.collect()}
+        assert {i for _, i, _ in got} == {r["id"] for r in nearest_documents(queries, store.read(), 3).collect()}
+        assert all(text == f"text {i}" for _, i, text in got)
+    everywhere = query_by_embedding(asked.where("project_id IS NULL"), store.read(), None, 61).collect()
+    assert len({r["id"] for r in everywhere}) == 61 and any(r["id"].startswith("None") for r in everywhere)
