@@ -33,7 +33,7 @@ TOP_TERMS = 10
 BLOCK = 64
 BUCKET = 4096
 #: Terms that a task sums before it passes them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 
 #: Letters are lowered, bytes beyond ASCII stay, all else is a separator.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
