@@ -511,14 +511,13 @@ def d6_replace_projects(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def d6_reindex_store(spark: SparkSession, sf: str) -> DataFrame:
-    schemas = store.DocumentStore(spark, _folder(spark))
-    descriptions = store.DocumentStore(spark, _folder(spark), DIM)
+    schemas, descriptions = store.paired_stores(spark, _folder(spark), DIM)
     texts = b.mdl_texts(spark, sf)
     for _ in range(2):
         index_projects(texts, schemas, descriptions, embed.hashing_embedder(DIM), OPTIONS)
+    chunks, described = store.read_together(schemas, descriptions)
     return (
-        schemas.read()
-        .unionByName(descriptions.read())
+        chunks.unionByName(described)
         .groupBy("project_id", "type")
         .agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"), F.count("embedding").alias("n_embedded"))
     )
