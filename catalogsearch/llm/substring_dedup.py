@@ -10,9 +10,13 @@ sorted only as far as that question needs, by refining buckets:
 - A bucket with one item is done: its windows are unique. If all items of a bucket agree in their whole context (all
   bytes that their windows cover), it is done too: all their windows repeat.
 - Refinement. One item of each other context goes on. Its windows are parted by their offset from the minimizer, and each
-  part goes to the bucket of the bytes that all windows of the part share: the old bucket's string, longer by what stands
-  at the offsets before and after it. The same rule is applied again, on the results of the round before, until a part is
-  one window and the string is the window itself.
+  part goes to a bucket for the bytes that all windows of the part share: the old bucket's string, longer by what stands
+  at the offsets before and after it. It is found from bucket identifiers of later offsets: the identifier of a place at
+  depth `GRAM` and the one `GRAM` bytes later make its identifier at twice that depth, and two of those, the second one at
+  the offset where it ends with the string, make the bucket of the string. The same rule is applied again, on the results
+  of the round before, until a part is one window and the string is the window itself. Identifiers are hashes and not
+  ranks, so a task makes those of all places from the bytes that the item carries and looks none up.
+- Identifiers choose the bucket; whether contexts agree is told by digests of their bytes.
 
 Every round is counting by key (partial aggregation) and a join with one row for each key, so a frequent string needs no
 task of its own; copies of a context count as one from the first round on.
@@ -72,7 +76,7 @@ def items_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
         n = len(part)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * hasher.up[:n], out=sums[1:])
-        grams = mix((sums[GRAM:] - sums[:-GRAM]) * hasher.down[: n - GRAM + 1])
+        grams = gram_buckets(sums, hasher)
         low = np.uint64((1 << (BLOCK_BITS + 1)) - 1)
         chosen = sliding_minimum(grams & ~low | np.arange(len(grams), dtype=np.uint64), LENGTH - GRAM + 1)
         start = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
@@ -83,23 +87,48 @@ def items_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.zeros(0, np.int64) for _ in range(5))
 
 
-def parts_of(data: np.ndarray, more: int, anchor: int, size: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """`key, ext, start, more, anchor` of the parts of an item, given the bytes of its context.
+def gram_buckets(sums: np.ndarray, hasher: ByteHasher) -> np.ndarray:
+    """Bucket identifiers of all places at depth `GRAM`, from running sums of bytes times powers."""
+    return mix((sums[GRAM:] - sums[:-GRAM]) * hasher.down[: len(sums) - GRAM])
+
+
+def refined(first: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Identifiers of buckets that are refined by the identifiers of a later offset."""
+    return mix(mix(first + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F) + later)
+
+
+def doubled_buckets(data: np.ndarray) -> np.ndarray:
+    """Bucket identifiers of all places at depth `2 * GRAM`."""
+    hasher = kept_by_worker(("byte hasher",), ByteHasher)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * hasher.up[: len(data)], out=sums[1:])
+    grams = gram_buckets(sums, hasher)
+    return refined(grams[:-GRAM], grams[GRAM:])
+
+
+def parts_of(more: np.ndarray, anchor: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """`item, number, low, high, first, last` of the parts of items: which item, which part, and offsets of windows from
+    the minimizer, the part's from `low` to `high` and those of them that the item has from `first` to `last`.
 
     Windows are parted by their offset from the minimizer, in the same way for all items.
     """
     reach = LENGTH - GRAM
-    for number in range((reach - anchor) // size, (reach - anchor + more) // size + 1):
-        # Offsets of the part's windows from the minimizer, from `low` to `high`; those of this item, from `first` to `last`.
-        low, high = number * size - reach, min(number * size + size - 1 - reach, 0)
-        first, last = max(low, -anchor), min(high, more - anchor)
-        if first > last:
-            continue
-        shared = data[anchor + high : anchor + low + LENGTH].tobytes()
-        whole = data[anchor + first : anchor + last + LENGTH].tobytes()
-        key = hashlib.blake2b(shared, digest_size=8, salt=size.to_bytes(8, "little"), person=number.to_bytes(8, "little")).digest()
-        ext = hashlib.blake2b(whole, digest_size=8, salt=(-first).to_bytes(8, "little")).digest()
-        yield int.from_bytes(key, "little", signed=True), int.from_bytes(ext, "little", signed=True), anchor + first, last - first, -first
+    lowest = (reach - anchor) // size
+    count = (reach - anchor + more) // size - lowest + 1
+    item = np.repeat(np.arange(len(more)), count)
+    number = lowest[item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+    low = number * size - reach
+    high = np.minimum(low + size - 1, 0)
+    first, last = np.maximum(low, -anchor[item]), np.minimum(high, more[item] - anchor[item])
+    some = first <= last
+    return tuple(column[some] for column in (item, number, low, high, first, last))
+
+
+def part_buckets(data: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.ndarray, size: int) -> np.ndarray:
+    """The bucket of each part: of the bytes that its windows share. `begin` is the place of its item's minimizer in `data`."""
+    buckets = doubled_buckets(data)
+    shared = refined(buckets[begin + high], buckets[begin + low + LENGTH - 2 * GRAM])
+    return refined(shared, number.astype(np.uint64) * np.uint64(2 * LENGTH) + np.uint64(size)).view(np.int64)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -160,14 +189,23 @@ def _parted(items: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                rows = []
-                for row in batch.slice(begin, 256).to_pylist():
-                    data = np.frombuffer(row["bytes"], np.uint8)
-                    for key, ext, first, more, anchor in parts_of(data, row["more"], row["anchor"], size):
-                        part = row["bytes"][first : first + more + LENGTH]
-                        rows.append({"key": key, "ext": ext, "doc_id": row["doc_id"], "tie": row["tie"], "start": row["start"] + first, "more": more, "anchor": anchor, "bytes": part})
-                yield pa.RecordBatch.from_pylist(rows, schema)
+            for begin in range(0, batch.num_rows, 512):
+                some = batch.slice(begin, 512)
+                contexts = some["bytes"].to_pylist()
+                start, more, anchor = (some[c].to_numpy().astype(np.int64) for c in ("start", "more", "anchor"))
+                ends = np.cumsum([len(c) for c in contexts])
+                place = ends - [len(c) for c in contexts] + anchor
+                item, number, low, high, first, last = parts_of(more, anchor, size)
+                keys = part_buckets(np.frombuffer(b"".join(contexts), np.uint8), place[item], low, high, number, size)
+                offset, rest = (anchor[item] + first), last - first
+                bounds = zip(item.tolist(), offset.tolist(), (offset + rest + LENGTH).tolist(), strict=True)
+                parts = [contexts[i][a:b] for i, a, b in bounds]
+                digests = [hashlib.blake2b(p, digest_size=8, salt=o.to_bytes(8, "little")).digest() for p, o in zip(parts, (-first).tolist(), strict=True)]
+                columns = [
+                    keys, np.frombuffer(b"".join(digests), np.int64), some["doc_id"].take(pa.array(item)), some["tie"].take(pa.array(item)),
+                    start[item] + offset, rest.astype(np.int32), (-first).astype(np.int32), pa.array(parts, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=schema)
 
     return items.mapInArrow(run, ITEM_SQL + ", bytes binary")
 
@@ -178,7 +216,8 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     found, going = _round(initial_items(texts))
     items = written(_with_bytes(texts, going), "items")
     for size in PARTS:
-        again, items = _round(_parted(items, size))
+        parted = _parted(items, size)
+        again, items = _round(parted if size > 1 else parted.drop("bytes"))  # nothing goes on from the last round
         found = found.unionByName(again)
     return found
 

@@ -25,7 +25,7 @@ from catalogsearch.llm.hashing import ByteHasher, word_bounds
 from catalogsearch.llm.oracle import ORACLE
 from catalogsearch.llm.pieces import TokenizerPieces, blocks
 from catalogsearch.llm.queries import QUERIES
-from catalogsearch.llm.substring_dedup import remove_substrings
+from catalogsearch.llm.substring_dedup import GRAM, LENGTH, PARTS, part_buckets, parts_of, remove_substrings
 from catalogsearch.llm.token_files import Segment, pack_levels, read_tokens, token_digests, write_tokens
 
 SF = "/root/testdata/sf0.001"
@@ -143,6 +143,27 @@ def test_substrings_against_brute_force(spark, odd, small):
     assert remove_substrings(odd.limit(0)).count() == 0
 
 
+def test_buckets_of_parts_name_the_bytes_that_their_windows_share():
+    """Parts cover each window once, and have the same bucket if and only if number and shared bytes agree."""
+    random = np.random.default_rng(5)
+    words = [random.integers(97, 100, 40, dtype=np.uint8).tobytes() for _ in range(3)]
+    contexts, mores, anchors = [], [], []
+    for _ in range(300):
+        anchor = int(random.integers(0, LENGTH - GRAM + 1))
+        more = int(random.integers(0, anchor + 1))
+        contexts.append(b"".join(words[i] for i in random.integers(0, 3, 10))[: more + LENGTH])
+        mores.append(more), anchors.append(anchor)
+    more, anchor = np.array(mores), np.array(anchors)
+    begin = np.cumsum([0, *map(len, contexts[:-1])]) + anchor
+    for size in PARTS:
+        item, number, low, high, first, last = parts_of(more, anchor, size)
+        covered = sorted((i, anchor[i] + o) for i, a, b in zip(item, first, last, strict=True) for o in range(a, b + 1))
+        assert covered == [(i, o) for i in range(len(more)) for o in range(more[i] + 1)]
+        keys = part_buckets(np.frombuffer(b"".join(contexts), np.uint8), begin[item], low, high, number, size)
+        shared = [(int(n), contexts[i][anchor[i] + h : anchor[i] + l + LENGTH]) for i, n, l, h in zip(item, number, low, high, strict=True)]
+        assert len(set(shared)) == len(set(keys.tolist())) == len(set(zip(shared, keys.tolist(), strict=True))) < len(shared)
+
+
 def test_texts_of_equal_hashes_under_one_id_are_kept_apart(spark):
     """Two texts whose 32-bit hashes are equal, both without an id; a copy of one has an id."""
     text = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512))
