@@ -5,7 +5,8 @@ then put into the leaf that a descent to the nearest centre ends in. Inner produ
 component, sqrt(M^2 - |x|^2) with M the largest norm, which is zero for queries. A query goes through the tree best bin
 first: a priority queue holds nodes by the distance of their centre, the nearest is opened, and leaves come out in order.
 How many leaves to visit is calibrated: for up to `CALIBRATION` queries the exact neighbours are found among all vectors,
-and visits are widened until the share of neighbours in visited leaves reaches `RECALL`. Every query then visits so many.
+and visits are widened until the share of neighbours in visited leaves reaches `RECALL`. Every query then visits so many, and goes on in the same order until its leaves hold `k` vectors besides those of
+its own vec_id, so that none gets fewer than `k` while there are more.
 
 A leaf's vectors are cut into blocks by hash, and its queries too, so a frequent vector or query makes more groups, not a
 larger one. A group gives each of its queries its best `k`. The first `FIRST` leaves of a query set a bound, the score of its k-th
@@ -15,7 +16,8 @@ Scores are sums of double products in the order of the components, so equal vect
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, neither do those of a
 length other than the most common; a query is never its own neighbour, by vec_id; ties go to the smaller vec_id; rows that
-agree in vec_id and vector are one vector; an empty table gives no rows; other columns are ignored.
+agree in vec_id and vector are one vector; of different vectors with one vec_id each is a candidate, and the smallest, by
+its components in order, is the query; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -73,15 +75,16 @@ class Tree:
             waiting += [(kid, rows[chosen == i]) for i, kid in enumerate(kids)]
         return out
 
-    def best_bins(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first leaves that best-bin-first traversal reaches."""
+    def best_bins(self, query: np.ndarray, visits: int, sizes: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first leaves that best-bin-first traversal reaches: so many, and then on until they hold `least` vectors."""
         point = np.append(query, 0.0)
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < visits:
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < visits or held < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 out.append(node)
+                held += sizes.get(node, 0) if sizes else 0
                 continue
             for far, kid in zip(((self.centres[kids] - point) ** 2).sum(axis=1).tolist(), kids, strict=True):
                 heapq.heappush(queue, (far, kid))
@@ -266,7 +269,10 @@ def _visit(asked: DataFrame, indexed: DataFrame, dimension: int, k: int) -> Data
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int = 20, target: float = RECALL) -> DataFrame:
-    """`query_id, rank, vec_id, score` of the nearest k found, for `queries` and `vectors(vec_id, vector)`."""
+    """`query_id, rank, vec_id, score` of the nearest k found, for `queries(vec_id, vector, own)` and `vectors(vec_id, vector)`.
+
+    `own` is the number of vectors with the query's vec_id, which are no candidates.
+    """
     tree = fit_tree(vectors)
     empty = queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     if tree is None:
@@ -274,21 +280,24 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, target: float =
     dimension = tree.centres.shape[1] - 1
     indexed = written(with_leaf(vectors, tree), "indexed")
     visits = calibrate(tree, indexed, queries, k, target)
+    sizes = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # the sample bounds the leaves
 
     def bins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 some = batch.slice(first, 256)
-                leaves = pa.array([tree.best_bins(q, visits) for q in _matrix(some["vector"], dimension)], pa.list_(pa.int64()))
+                each = zip(_matrix(some["vector"], dimension), some["own"].to_pylist(), strict=True)
+                leaves = pa.array([tree.best_bins(q, visits, sizes, k + own) for q, own in each], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([some["vec_id"], some["vector"], leaves], ["vec_id", "vector", "leaves"])
 
-    asked = written(queries.select("vec_id", "vector").mapInArrow(bins, "vec_id bigint, vector array<double>, leaves array<bigint>"), "asked")
+    asked = written(queries.select("vec_id", "vector", "own").mapInArrow(bins, "vec_id bigint, vector array<double>, leaves array<bigint>"), "asked")
     early = asked.select("vec_id", "vector", F.lit(float("-inf")).alias("bound"), F.explode(F.slice("leaves", 1, FIRST)).alias("leaf"))
     first = written(_rank(_visit(early, indexed, dimension, k), k), "first")
-    if visits <= FIRST:
+    longer = asked.filter(F.size("leaves") > FIRST)
+    if longer.isEmpty():
         return first.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     bounds = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
-    late = asked.join(bounds, "vec_id", "left").select("vec_id", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"), F.explode(F.slice("leaves", FIRST + 1, visits)).alias("leaf"))
+    late = longer.join(bounds, "vec_id", "left").select("vec_id", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"), F.explode(F.slice("leaves", FIRST + 1, len(tree.leaves))).alias("leaf"))
     found = first.drop("rank").unionByName(_visit(late, indexed, dimension, k))
     return _rank(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -296,4 +305,5 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, target: float =
 def nearest_neighbours(embeddings: DataFrame, every: int = 20, k: int = 20, target: float = RECALL) -> DataFrame:
     """Searches all vectors of `embeddings(vec_id, embedding)` for those whose id is divisible by `every`."""
     vectors = written(sound_vectors(embeddings).dropDuplicates(["vec_id", "vector"]), "vectors")
-    return search(vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]), vectors, k, target)
+    asked = vectors.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"), F.count("*").alias("own"))
+    return search(asked, vectors, k, target)

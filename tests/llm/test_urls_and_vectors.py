@@ -1,5 +1,7 @@
 """URL filter and nearest neighbours: against brute force, and on odd input."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,25 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, nearest.nearest_neighbours(frame).collect()))
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 50), monkeypatch.setattr(nearest, "BLOCK_QUERIES", 3)
     assert sorted(map(tuple, nearest.nearest_neighbours(frame).collect())) == want
+
+
+def test_no_query_gets_fewer_than_there_are(spark, monkeypatch):
+    """Tight far clusters of a few vectors, and one leaf to visit: queries go on until they have enough."""
+    random = np.random.default_rng(9)
+    points = np.repeat(random.normal(size=(200, 6)) * 10, 6, axis=0) + 0.01 * random.normal(size=(1200, 6))
+    points = points.astype(np.float32).astype(np.float64)
+    monkeypatch.setattr(nearest, "LEAF_SAMPLES", 3), monkeypatch.setattr(nearest, "LEAF_ROWS", 3)
+    monkeypatch.setattr(nearest, "calibrate", lambda *_: 1)
+    got = nearest.nearest_neighbours(table_of(spark, range(1200), points)).collect()
+    assert Counter(r["query_id"] for r in got) == {q: 20 for q in range(0, 1200, 20)}
+    few = nearest.nearest_neighbours(table_of(spark, range(12), points[:12])).collect()
+    assert len(few) == 11
+
+
+def test_one_id_with_several_vectors(spark):
+    """All are candidates, none of them for their own id, and the smallest vector asks, however the rows lie."""
+    rows = [(0, [3.0, 1.0]), (0, [1.0, 2.0]), (0, [1.0, 9.0]), (1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 1.0])]
+    for some in (rows, rows[::-1]):
+        frame = spark.createDataFrame(some, "vec_id long, embedding array<float>").repartition(3)
+        got = [tuple(r) for r in nearest.nearest_neighbours(frame).orderBy("query_id", "rank").collect()]
+        assert got == [(0, 1, 2, 3.0), (0, 2, 1, 2.0), (0, 3, 1, 1.0)]
