@@ -505,3 +505,23 @@ def test_pipeline_stages(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 120
     pieces = corpus_pipeline.packing_stage(spark, docs, SF)
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels"])
+def test_pipeline_on_empty_tables(spark, tmp_path, empty):
+    """No documents give no pieces. Without labels nothing is known to be toxic, and the other stages do their work."""
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{SF}/{name}.parquet")
+        (table.limit(0) if name == empty else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    pieces = corpus_pipeline.run(spark, str(tmp_path))
+    assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(pieces.columns)
+    found = pieces.select("doc_id").distinct().count()
+    assert found == 0 if empty == "documents" else found > 120
+
+
+def test_pipeline_on_odd_rows(spark, odd, tmp_path):
+    """Rows without 50 words go, rows that agree stay once, and columns with other names do no harm."""
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    assert got <= {None, 4, 5, 6, 7, 8, 9, 10} and {4, 6, 7, 9, 10} <= got and not {5, 8} & got
