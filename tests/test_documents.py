@@ -328,3 +328,36 @@ def test_headers_and_descriptions_of_any_size(spark):
     lengths = documents.schema_documents(rows, Options()).select(F.length("content")).collect()
     assert all(n > 21_000_000 for (n,) in lengths) and len(lengths) == 2
     assert documents.description_documents(rows).select(F.length("content")).head()[0] > 21_000_000
+
+
+def test_a_document_is_parsed_once(spark):
+    texts = spark.createDataFrame([("p", '{"models":[]}')], "project_id string, mdl string")
+    for part in validate_mdl(texts):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        # The types, the shape of what does not fit them, and that again without and with flags of any type.
+        assert plan.count("from_json(") <= 4
+
+
+def test_documents_that_do_not_fit_the_types(spark):
+    texts = [
+        ("fits", '{"models":[{"name":"m","columns":[{"name":"c","isHidden":true}]}],"part":2}'),
+        ("number", '{"models":[{"name":"m","columns":[{"name":"c","isHidden":1}]}],"part":3}'),
+        ("part", '{"models":[{"name":"m","columns":"none"}],"views":[{"name":"v"}]}'),
+        ("text", '{"models":"[]"}'),
+        ("list", '{"models":{"name":"m"}}'),
+        ("cut", '{"models":[{"name":"m"'),
+        ("array", '[{"models":[]}]'),
+        ("null", None),
+    ]
+    rows, rejects = validate_mdl(spark.createDataFrame(texts, "project_id string, mdl string"))
+    got = {r.project_id: r for r in rows.collect()}
+    assert set(got) == {"fits", "number", "part", "text"}
+    assert (got["fits"].part_no, got["number"].part_no) == (2, 3)
+    assert got["fits"].models[0].columns[0].isHidden is True and got["number"].models[0].columns[0].isHidden is True
+    assert [v.name for v in got["part"].views] == ["v"] and got["text"].models == []
+    assert {r.project_id: r.reason for r in rejects.collect()} == {
+        "list": "models is no list",
+        "cut": "no JSON object",
+        "array": "no JSON object",
+        "null": "no JSON object",
+    }
