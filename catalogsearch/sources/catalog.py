@@ -147,13 +147,16 @@ def fetch_columns(catalog: Catalog, options: Options, like: bool = False) -> Dat
 def fetch_primary_keys(catalog: Catalog, options: Options, like: bool = False) -> DataFrame:
     """First primary key column of each table.
 
-    The table is part of the join key, as constraint names may repeat within a schema.
+    The table is part of the join key, as constraint names may repeat within a schema. The first column of each constraint
+    is chosen before the join, where tasks have most columns of a constraint together.
     """
     keys = catalog.constraints.where((F.col("constraint_type") == "PRIMARY KEY") & named(options, like))
+    place = F.struct("ordinal_position", "column_name")
+    first = catalog.key_usage.groupBy(*RELATION_KEYS, "table_name").agg(F.min(place).alias("first"))
     return (
-        keys.join(catalog.key_usage, [*RELATION_KEYS, "table_name"])
+        keys.join(first, [*RELATION_KEYS, "table_name"])
         .groupBy("project_id", "table_name")
-        .agg(F.min(F.struct("ordinal_position", "column_name"))["column_name"].alias("column_name"))
+        .agg(F.min("first")["column_name"].alias("column_name"))
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
+
 #: Parts that one window cuts, on average.
-WINDOW_PARTS = 16
+WINDOW_PARTS = 4
 
 
 def _running(weight: Column, window) -> Column:
@@ -20,15 +22,18 @@ def number_parts(items: DataFrame, name: str, n_bytes: str, bound: int, most: in
     A project within both bounds is part 0. Of others, an item over half the bound is a part by itself, and the small ones
     are dealt to buckets by the hash of their name and cut there, in order, wherever half the bound is reached. Parts are
     numbered by bucket: their counts come from the narrow columns of `items`, which are read three times (pass a written
-    table), and nothing but those counts passes through one window per project.
+    table), and nothing but those counts passes through one window per project. Projects and counts are written, so that Spark
+    knows how few they are and ships them to the items, which then pass through one shuffle, to their buckets.
     """
     by_project, by_bucket = ["project_id"], ["project_id", "_bucket"]
     weight = F.col(n_bytes) + bound // most
     total = items.groupBy(*by_project).agg(F.sum(weight).alias("_total"))
-    buckets = total.select(
-        *by_project,
-        F.when(F.col("_total") <= bound, F.col("_total") + 1).otherwise(F.lit(bound // 2)).alias("_cut"),
-        F.when(F.col("_total") <= bound, 1).otherwise(F.ceil(F.col("_total") / (bound * WINDOW_PARTS))).alias("_buckets"),
+    buckets = checkpointed(
+        total.select(
+            *by_project,
+            F.when(F.col("_total") <= bound, F.col("_total") + 1).otherwise(F.lit(bound // 2)).alias("_cut"),
+            F.when(F.col("_total") <= bound, 1).otherwise(F.ceil(F.col("_total") / (bound * WINDOW_PARTS))).alias("_buckets"),
+        )
     )
     placed = items.join(buckets, by_project).withColumn("_bucket", F.pmod(F.xxhash64(name), F.col("_buckets")))
     large = weight > F.col("_cut")
@@ -37,7 +42,7 @@ def number_parts(items: DataFrame, name: str, n_bytes: str, bound: int, most: in
         F.ceil(F.sum(small_weight) / F.col("_cut")).alias("_small"), F.count_if(large).alias("_large")
     )
     before = Window.partitionBy(*by_project).orderBy("_bucket")
-    offsets = counts.select(*by_bucket, "_small", _running(F.col("_small") + F.col("_large"), before).alias("_offset"))
+    offsets = checkpointed(counts.select(*by_bucket, "_small", _running(F.col("_small") + F.col("_large"), before).alias("_offset")))
 
     order = Window.partitionBy(*by_bucket).orderBy("kind", name, n_bytes)
     of_small = F.floor(_running(small_weight, order) / F.col("_cut"))

@@ -18,6 +18,8 @@ from catalogsearch.options import Options
 TEXT_TYPES = ("character varying", "varchar", "text")
 
 VALUE_KEYS = ["project_id", "table_name", "column_name"]
+#: Sums of bytes by hash of the column, among which the large columns are looked for.
+COLUMN_SUMS = 65_536
 
 
 def profiled_columns(columns: DataFrame) -> DataFrame:
@@ -77,13 +79,26 @@ def column_value_sizes(values: DataFrame) -> DataFrame:
     )
 
 
+def large_columns(values: DataFrame, part_bytes: int) -> DataFrame:
+    """Keys of the columns with more than `part_bytes` of values, written.
+
+    Bytes are summed by a hash of the column first, into a bounded number of sums. Only the columns of a sum over the bound, which
+    each large column makes by itself, are summed one by one.
+    """
+    hashed = values.withColumn("_sum", F.pmod(F.xxhash64(*VALUE_KEYS), F.lit(COLUMN_SUMS)))
+    sums = hashed.groupBy("_sum").agg(F.sum(F.octet_length("value").cast("bigint")).alias("_bytes"))
+    heavy = checkpointed(sums.where(F.col("_bytes") > part_bytes).select("_sum"))
+    some = hashed.join(F.broadcast(heavy), "_sum", "left_semi").drop("_sum")
+    return checkpointed(column_value_sizes(some).where(F.col("n_bytes") > part_bytes).select(*VALUE_KEYS))
+
+
 def nest_values(values: DataFrame, part_bytes: int) -> DataFrame:
     """The sorted values of each column as JSON lists: `(project_id, table_name, column_name, part, unique_values)`.
 
     A column within `part_bytes` is one list, part 0. A larger one is several, each of about that size, whose parts continue
-    each other. `values` is read twice: pass a written table.
+    each other. `values` is read three times: pass a written table.
     """
-    large = checkpointed(column_value_sizes(values).where(F.col("n_bytes") > part_bytes).select(*VALUE_KEYS))
+    large = large_columns(values, part_bytes)
     listed = F.to_json(F.array_sort(F.collect_list("value"))).alias("unique_values")
     whole = values.join(large, VALUE_KEYS, "left_anti").groupBy(*VALUE_KEYS).agg(listed).withColumn("part", F.lit(0))
     if large.isEmpty():

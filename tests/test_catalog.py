@@ -305,3 +305,39 @@ def test_nulls_that_change_places_change_the_digest(spark, catalog):
         return project_digests(given, None, OPTIONS).where("project_id = 'p'").head()["digest"]
 
     assert len({digest("a", None), digest(None, "a"), digest(None, None), digest("a", "a")}) == 4
+
+
+def test_large_columns_are_found_among_sums(spark, monkeypatch):
+    monkeypatch.setattr(profile, "COLUMN_SUMS", 2)  # many columns share a sum
+    rows_ = [("p", f"t{i}", "c", "v" * 60) for i in range(40)] + [("p", "big", "c", f"{i:03}" + "w" * 60) for i in range(40)] + [(None, "n", "c", "x" * 2_000)]
+    found = profile.large_columns(values_of(spark, rows_), 1_000)
+    assert sorted((r["project_id"] or "", r["table_name"]) for r in found.collect()) == [("", "n"), ("p", "big")]
+    assert profile.large_columns(values_of(spark, rows_), 1_000_000).isEmpty()
+
+
+def test_lists_meet_their_columns_in_one_shuffle(spark):
+    names = [("p", "t", "a", 1), ("p", "t", "a", 2), ("p", "t", "b", 3), ("p", "u", "a", 1), (None, "t", "a", 1)]
+    columns = spark.createDataFrame(names, "project_id string, table_name string, column_name string, ordinal_position int")
+    lists = spark.createDataFrame([("p", "t", "a", '["x"]'), ("p", "v", "a", '["y"]'), (None, "t", "a", '["z"]')], "project_id string, table_name string, column_name string, unique_values string")
+    found = mdl.with_lists(columns, lists)
+    assert sorted((r["project_id"] or "", r["table_name"], r["ordinal_position"], r["unique_values"]) for r in found.collect()) == [
+        ("", "t", 1, None), ("p", "t", 1, '["x"]'), ("p", "t", 2, '["x"]'), ("p", "t", 3, None), ("p", "u", 1, None),
+    ]
+    plan = found.groupBy("project_id", "table_name").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_items_pass_through_one_shuffle_to_their_parts(spark):
+    items = checkpointed(spark.range(20_000).selectExpr("'p' AS project_id", "0 AS kind", "'n' || id AS name", "100L AS n_bytes", "repeat('x', 500) AS item"))
+    numbered = number_parts(items, "name", "n_bytes", 10_000, 1_000)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and numbered.count() == 20_000
+
+
+def test_written_documents_are_compressed(spark, catalog, tmp_path):
+    path = tmp_path / "mdl"
+    built = mdl.build_mdl(catalog, None, OPTIONS)
+    mdl.write_mdl(built, str(path), OPTIONS)
+    assert [f for f in path.rglob("part-*") if f.name.endswith(".txt.gz")] and not list(path.rglob("*.txt"))
+    wanted = {(r["project_id"], r["mdl"]) for r in mdl.mdl_json(built, OPTIONS).collect()}
+    assert {(r["project_id"], r["mdl"]) for r in mdl.read_mdl(spark, str(path)).collect()} == wanted
