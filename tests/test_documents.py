@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalogsearch.checkpoints import checkpointed
 from catalogsearch.functions import comments
 from catalogsearch.operators import documents
 from catalogsearch.operators.numbering import number_rows
@@ -361,3 +362,15 @@ def test_documents_that_do_not_fit_the_types(spark):
         "array": "no JSON object",
         "null": "no JSON object",
     }
+
+
+def test_lists_of_one_model_are_joined_in_pieces(spark):
+    """Two models, one with many further lists of values: its lists are dealt to pieces, and none is lost."""
+    text = {"models": [{"name": n, "columns": [{"name": "c", "type": "text"}]} for n in ("a", "b")]}
+    text["columnValues"] = [{"model": m, "column": "c", "part": i + 1, "place": i, "values": [f"{m}{i}"]} for m, n in (("a", 60), ("b", 2)) for i in range(n)]
+    parsed = checkpointed(validate_mdl(spark.createDataFrame([("p", json.dumps(text))], "project_id string, mdl string"))[0])
+    found = documents.value_documents(parsed, Options(mdl_part_bytes=1_000, value_part_bytes=500))
+    assert "_piece" in found._jdf.queryExecution().executedPlan().toString()
+    shown = [(r["name"], r["ord"]["chunk_no"], r["content"]) for r in found.collect()]
+    assert sorted(s[:2] for s in shown) == sorted((v["model"], v["place"]) for v in text["columnValues"])
+    assert all(f"{name}{place}" in content for name, place, content in shown)
