@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from catalogsearch.operators import documents
 from workload import bindings as b
 
 
@@ -60,3 +61,21 @@ def test_lines_and_orders_meet_by_key(spark, tables):
     assert models[("1-URGENT", "t_o65")] == models[("2-HIGH", "t_o65")] == twice
     assert models[(None, "t_o130")] == ["custkey"]
     assert ("1-URGENT", "t_c10") in models and "t_o999" not in str(models)
+
+
+def test_documents_come_placed_by_name(spark, tables):
+    rows = b.mdl(spark, tables)
+    shuffles = []
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        docs = documents.schema_documents(rows, b.OPTIONS, by_name=True)
+        for frame in (docs, docs.groupBy("project_id", "name").count()):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            shuffles.append(plan.count("Exchange hashpartitioning"))
+        plain = documents.schema_documents(rows, b.OPTIONS)
+        assert sorted(map(str, docs.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Related keys, keys and models by name, views and metrics; a lookup by name adds none.
+    assert shuffles == [6, 6]
