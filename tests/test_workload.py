@@ -5,8 +5,9 @@ import re
 
 import pytest
 
-from catalogsearch.operators import documents
+from catalogsearch.operators import documents, pruning
 from workload import bindings as b
+from workload import queries
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,11 @@ def test_documents_come_placed_by_name(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     # Related keys, keys and models by name, views and metrics; a lookup by name adds none.
     assert shuffles == [6, 6]
+
+
+def test_answers_are_read_without_a_shuffle(spark, tables):
+    found = queries._retrieval(spark, tables)
+    for part in (found.tables, found.resources, found.emitted, found.budget, found.prompts, found.truncated):
+        assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString()
+    flags = pruning.result_flags(pruning.with_choices(found.answers, pruning.valid_replies(b.replies(spark, tables))[0]))
+    assert "commands" not in flags._jdf.queryExecution().executedPlan().toString()  # flags need no texts
